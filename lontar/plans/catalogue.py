@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lontar.plans import hierarchy
+from lontar.plans import hierarchy, nested, snapshots
 
-MODULES = [hierarchy]
+MODULES = [hierarchy, nested, snapshots]
 
 
 def queries() -> dict:
