@@ -307,13 +307,10 @@ def _rank_sublists(lists: DataFrame, stages: Stages, block: int) -> DataFrame:
 def _chunks(batches: Iterator[pd.DataFrame], mode: str) -> Iterator[pd.DataFrame]:
     """Rows sorted by (tree, chunk, entry); the rows that only open a chunk are not given out."""
     stack: list[tuple] = []
-    at = None
     for d in batches:
-        for key, part in d.groupby(["tree", "chunk"], sort=False):
-            if key != at:
-                stack, at = [], key
-            out = _walk(part, stack, mode == "nodes")[part["own"].to_numpy()]
-            yield (out[_faulty(out)] if mode == "found" else out)[[c.split()[0] for c in OUT.split(", ")]]
+        d = d.assign(tree=list(zip(d["tree"], d["chunk"], strict=True)))  # another chunk starts with its own openers
+        out = _walk(d, stack, mode == "nodes")[d["own"].to_numpy()]
+        yield (out[_faulty(out)] if mode == "found" else out)[[c.split()[0] for c in OUT.split(", ")]]
 
 
 def _across_blocks(opened: DataFrame, stages: Stages, block: int, mode: str) -> DataFrame:
