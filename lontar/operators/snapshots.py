@@ -2,11 +2,11 @@
 
 Method. Every key gets a persistent ordinal: keys are range-partitioned, numbered inside
 their partition and shifted by the sizes of the partitions before, and keys of an earlier
-dictionary keep theirs. The keys present in one snapshot are a bitmap over a block of
-ordinals, held compressed (sorted positions while sparse, bits otherwise). AND-NOT of
-neighbouring bitmaps gives additions and removals; for the keys in both, the columns lie as
-vectors aligned by ordinal and are compared as a whole. A block is streamed snapshot by
-snapshot, so a task holds two snapshots of one block, whatever the size of a table.
+dictionary keep theirs. The keys present in one snapshot are a bitmap, compressed by blocks
+of ordinals: blocks without keys do not exist, and the bits of a block are one integer.
+AND-NOT of neighbouring bitmaps gives additions and removals; for the keys in both, the
+columns lie as vectors aligned by ordinal and are compared along them. A block is streamed
+snapshot by snapshot, so a task holds two snapshots of one block, whatever the table's size.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from functools import partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -26,40 +27,20 @@ SPAN = 4096  # ordinals of a block
 KEYS_PER_PART = 200_000
 
 
-class Bitmap:
-    """Positions below SPAN: a sorted array of them while few, packed bits otherwise."""
+def bits(positions: list[int]) -> int:
+    """A block's bitmap as one integer."""
+    flat = bytearray(SPAN // 8)
+    for p in positions:
+        flat[p >> 3] |= 1 << (p & 7)
+    return int.from_bytes(flat, "little")
 
-    __slots__ = ("few", "bits")
 
-    def __init__(self, positions: np.ndarray):
-        self.few = self.bits = None
-        if len(positions) <= SPAN // 16:
-            self.few = positions.astype(np.uint16)
-        else:
-            flat = np.zeros(SPAN, np.uint8)
-            flat[positions] = 1
-            self.bits = np.packbits(flat)
-
-    def positions(self) -> np.ndarray:
-        return self.few.astype(np.int64) if self.few is not None else np.flatnonzero(np.unpackbits(self.bits))
-
-    def _dense(self) -> np.ndarray:
-        if self.bits is not None:
-            return self.bits
-        flat = np.zeros(SPAN, np.uint8)
-        flat[self.few] = 1
-        return np.packbits(flat)
-
-    def and_not(self, other: Bitmap) -> np.ndarray:
-        """Positions here and not there."""
-        if self.few is not None and other.few is not None:
-            return np.setdiff1d(self.few, other.few, assume_unique=True).astype(np.int64)
-        return np.flatnonzero(np.unpackbits(self._dense() & ~other._dense()))
-
-    def both(self, other: Bitmap) -> np.ndarray:
-        if self.few is not None and other.few is not None:
-            return np.intersect1d(self.few, other.few, assume_unique=True).astype(np.int64)
-        return np.flatnonzero(np.unpackbits(self._dense() & other._dense()))
+def positions(bitmap: int) -> Iterator[int]:
+    """Positions of the bits that are set, in order."""
+    while bitmap:
+        low = bitmap & -bitmap
+        yield low.bit_length() - 1
+        bitmap ^= low
 
 
 def as_set(array: Column) -> Column:
@@ -93,69 +74,76 @@ def ordinals(keys: DataFrame, names: list[str], stages: Stages, known: DataFrame
 
 
 class _Block:
-    """One snapshot of one block of ordinals."""
-
-    def __init__(self, d: pd.DataFrame, fields: list[str]):
-        at = (d["ordinal"] % SPAN).to_numpy()
-        self.rows, self.keys = d, Bitmap(at)
-        self.slot = np.full(SPAN, -1, np.int32)
-        self.slot[at] = np.arange(len(d))
-        self.vectors = [d[f].to_numpy() for f in fields]
-        self.no, self.prev, self.next = d["no"].iloc[0], d["prev"].iloc[0], d["next"].iloc[0]
-
-
-def _changes(a: _Block | None, b: _Block | None, no, fields: list[str]) -> Iterator[pd.DataFrame]:
-    def out(block: _Block, at: np.ndarray, kind: str, which=None) -> pd.DataFrame:
-        d = block.rows.iloc[block.slot[at]]
-        return pd.DataFrame({"entity": d["entity"].to_numpy(), "no": no, "ordinal": d["ordinal"].to_numpy(), "change": kind, "fields": pd.Series(which if which is not None else [None] * len(d), dtype=object)})
-
-    if a is not None:
-        yield out(a, a.keys.and_not(b.keys) if b else a.keys.positions(), "removed")
-    if b is not None:
-        yield out(b, b.keys.and_not(a.keys) if a else b.keys.positions(), "added")
-    if a is not None and b is not None:
-        at = a.keys.both(b.keys)
-        i, j = a.slot[at], b.slot[at]
-        differ = np.stack([x[i] != y[j] for x, y in zip(a.vectors, b.vectors, strict=True)], axis=1) if len(at) else np.zeros((0, 1), bool)
-        hit = differ.any(axis=1)
-        yield out(b, at[hit], "changed", [[f for f, x in zip(fields, row, strict=True) if x] for row in differ[hit]])
-
-
-def _stream(batches: Iterator[pd.DataFrame], fields: list[str]) -> Iterator[pd.DataFrame]:
+    """One snapshot of one block of ordinals: its bitmap, and its columns aligned by ordinal."""
+
+    __slots__ = ("where", "no", "prev", "next", "base", "rows", "keys")
+
+    def __init__(self, where: tuple, no: int, prev: int | None, nxt: int | None):
+        self.where, self.no, self.prev, self.next = where, no, prev, nxt
+        self.base = where[0] * SPAN
+        self.rows: dict[int, tuple] = {}
+        self.keys = 0
+
+    def closed(self) -> _Block:
+        self.keys = bits(list(self.rows))
+        return self
+
+
+def _changes(a: _Block | None, b: _Block | None, no: int, fields: list[str], out: list[tuple]) -> None:
+    before, after = a.keys if a else 0, b.keys if b else 0
+    block = a or b
+    base, entity = block.base, block.where[1]
+    out.extend((entity, no, base + p, "removed", None) for p in positions(before & ~after))
+    out.extend((entity, no, base + p, "added", None) for p in positions(after & ~before))
+    for p in positions(before & after):
+        x, y = a.rows[p], b.rows[p]
+        if x != y:
+            out.append((entity, no, base + p, "changed", [f for f, v, u in zip(fields, x, y, strict=True) if v != u]))
+
+
+def _stream(batches: Iterator[pa.RecordBatch], fields: list[str]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (block, entity, snapshot, ordinal)."""
     old: _Block | None = None
-    held: list[pd.DataFrame] = []
-    at = None
-
-    def close() -> Iterator[pd.DataFrame]:
-        nonlocal old
-        if not held:
-            return
-        d = pd.concat(held, ignore_index=True).drop_duplicates("ordinal")
-        held.clear()
-        new = _Block(d, fields)
-        follows = old is not None and at[:2] == old.where
+    new: _Block | None = None
+    out: list[tuple] = []
+    names = [f[2:] for f in fields]
+
+    def close() -> None:
+        nonlocal old, new
+        if new is not None:
+            new.closed()
+        follows = old is not None and new is not None and old.where == new.where
         if follows and old.next == new.no:
-            yield from _changes(old, new, new.no, fields)
+            _changes(old, new, new.no, names, out)
         else:
-            if old is not None and not pd.isna(old.next):
-                yield from _changes(old, None, old.next, fields)
-            if not pd.isna(new.prev):
-                yield from _changes(None, new, new.no, fields)
-        new.where = at[:2]
-        old = new
+            if old is not None and old.next is not None:
+                _changes(old, None, old.next, names, out)
+            if new is not None and new.prev is not None:
+                _changes(None, new, new.no, names, out)
+        old, new = new, None
+
+    def made() -> pa.RecordBatch:
+        columns = list(zip(*out, strict=True)) if out else [[]] * 5
+        types = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.string()))
+        batch = pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names=["entity", "no", "ordinal", "change", "fields"])
+        out.clear()
+        return batch
 
     for d in batches:
-        d = d.assign(**{f: d[f].fillna("\x00") for f in fields})
-        for key, part in d.groupby(["block", "entity", "no"], sort=False, dropna=False):
-            key = tuple(None if x is None or x != x else x for x in key)
-            if key != at:
-                yield from close()
-                at = key
-            held.append(part)
-    yield from close()
-    if old is not None and not pd.isna(old.next):
-        yield from _changes(old, None, old.next, fields)
+        lists = [d.column(c).to_pylist() for c in ("block", "entity", "no", "prev", "next", "ordinal")]
+        values = zip(*[d.column(f).to_pylist() for f in fields], strict=True)
+        for (block, entity, no, prev, nxt, ordinal), row in zip(zip(*lists, strict=True), values, strict=True):
+            if new is None or new.no != no or new.where != (block, entity):
+                if new is not None:
+                    close()
+                new = _Block((block, entity), no, prev, nxt)
+            new.rows.setdefault(ordinal - new.base, row)
+        yield made()
+    if new is not None:
+        close()
+    if old is not None:
+        close()
+    yield made()
 
 
 def snapshot_changes(df: DataFrame, entity: str, number: str, key: dict[str, Column], fields: dict[str, Column], at: str, known: DataFrame | None = None) -> DataFrame:
@@ -182,5 +170,5 @@ def snapshot_changes(df: DataFrame, entity: str, number: str, key: dict[str, Col
     full = rows.alias("r").join(codes.alias("c"), same("r", "c", on)).join(given.alias("g"), same("r", "g", ["entity", "no"]))
     full = full.select(F.floor(F.col("ordinal") / SPAN).alias("block"), "r.entity", "r.no", "ordinal", "prev", "next", "at", *[f"f_{n}" for n in fields])
     full = full.repartition("block", "entity").sortWithinPartitions("block", "entity", "no", "ordinal", F.desc("at"))
-    found = full.drop("at").mapInPandas(partial(_stream, fields=[f"f_{n}" for n in fields]), "entity string, no long, ordinal long, change string, fields array<string>")
-    return found.join(codes.drop("entity"), "ordinal").select("entity", "no", *[F.col(f"k_{n}").alias(n) for n in names], "change", F.transform("fields", lambda f: F.substring(f, 3, 1000)).alias("fields"))
+    found = full.drop("at").mapInArrow(partial(_stream, fields=[f"f_{n}" for n in fields]), "entity string, no long, ordinal long, change string, fields array<string>")
+    return found.join(codes.drop("entity"), "ordinal").select("entity", "no", *[F.col(f"k_{n}").alias(n) for n in names], "change", "fields")
