@@ -251,7 +251,7 @@ def _part(d: pd.DataFrame, over: pd.DataFrame):
     return d, vid, sibling, leave, count, weight, last
 
 
-def _sublists(key, d: pd.DataFrame, over: pd.DataFrame) -> pd.DataFrame:
+def _sublists(key: tuple, d: pd.DataFrame, over: pd.DataFrame) -> pd.DataFrame:
     d, vid, nxt, leave, count, weight, last = _part(d, over)
     entered = np.zeros(len(nxt), bool)
     entered[nxt[nxt >= 0]] = True
@@ -260,7 +260,7 @@ def _sublists(key, d: pd.DataFrame, over: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"head": 2 * vid[head // 2] + head % 2, "to": leave[end], "n": count[head], "w": weight[head], "tail": 2 * vid[end // 2] + end % 2})
 
 
-def _finish(key, d: pd.DataFrame, over: pd.DataFrame) -> pd.DataFrame:
+def _finish(key: tuple, d: pd.DataFrame, over: pd.DataFrame) -> pd.DataFrame:
     links, ranks = over[over["kind"] == 0], over[over["kind"] == 1]
     d, vid, nxt, leave, count, weight, last = _part(d, links)
     tail = pd.DataFrame({"gid": 2 * vid[last // 2] + last % 2}).merge(ranks[["gid", "n_after", "w_after", "total", "end"]], on="gid", how="left")
