@@ -204,10 +204,10 @@ def _lexicon(names: DataFrame, forms: list, firm: bool) -> Lexicon:
     words = names.select("text", "n", F.array_distinct(F.expr("regexp_extract_all(lower(text), '[\\\\p{L}]{4,}', 0)")).alias("w"))
     total = names.agg(F.sum("n")).first()[0] or 0
     each = words.select("n", "w", F.explode("w").alias("word"))
-    frequent = each.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(3, SHARE * total)).select("word")
+    frequent = each.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(3, SHARE * total)).withColumnRenamed("n", "rows")
     # at most a few hundred words: a share of all names bounds their number
-    beside = each.join(F.broadcast(frequent), "word").select("word", F.explode("w").alias("other")).groupBy("word").agg(F.approx_count_distinct("other").alias("m"))
-    often = {plain(r.word): r.m for r in beside.filter(F.col("m") >= PARTNERS).collect()}
+    beside = each.join(F.broadcast(frequent), "word").select("word", "rows", F.explode("w").alias("other")).groupBy("word", "rows").agg(F.approx_count_distinct("other").alias("m"))
+    often = {plain(r.word): r.rows for r in beside.filter(F.col("m") >= PARTNERS).collect()}
     found = {w for w, m in often.items() if not any(m * 3 <= often[x] and one_slip(w, x) for x in often)}  # a common slip is no word
     known = {v for v in short.values()}
     return Lexicon({w for w in found | known if len(w) >= 4 and w not in legal and " " not in w}, short, legal)
