@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lontar.llm import mixture_queries, names_queries, pieces_queries, residue_queries, spans_queries, tokens_queries
+from lontar.llm import mixture_queries, names_queries, pieces_queries, residue_queries, scan_queries, spans_queries, tokens_queries
 
-MODULES = [names_queries, residue_queries, pieces_queries, tokens_queries, mixture_queries, spans_queries]
+MODULES = [scan_queries, names_queries, residue_queries, pieces_queries, tokens_queries, mixture_queries, spans_queries]
 
 
 def queries() -> dict:
