@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lontar.plans import hierarchy, nested, snapshots
+from lontar.plans import hierarchy, nested, search, snapshots, texts
 
-MODULES = [hierarchy, nested, snapshots]
+MODULES = [hierarchy, nested, snapshots, texts, search]
 
 
 def queries() -> dict:
