@@ -36,7 +36,7 @@ _EDGE = ".,;:()[]\"'!?"
 _ROMAN = r"(?=[ivxlc])(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})"
 PAGE = re.compile(rf"^(?:(?:hal(?:aman)?|page|p|hlm)\b\.?\s*)?[-–—~\[(]*\s*(?:\d{{1,4}}|{_ROMAN})(?:\s*(?:/|dari|of)\s*\d{{1,4}})?\s*[-–—~\])]*$", re.I)
 _TAIL_PAGE = re.compile(rf"^(.*\S)\s{{2,}}(?:(?:hal(?:aman)?|page)\b\.?\s*)?[-–—~\[(]*\s*(?:\d{{1,4}}|{_ROMAN})\s*[-–—~\])]*$", re.I)
-_BROKEN = re.compile(rf"([^\W_][\w@|'-]*)[{MARKS}][ \t]*$")
+_BROKEN = re.compile(rf"([^\W_][\w@|'-]*)[{MARKS}]$")
 _FIRST = re.compile(r"[ \t]*([\w@|'-]*[^\W_])")
 _LETTER = re.compile(r"[^\W\d_]")
 _INNER = re.compile(r"(?<=[^\W\d_])[\d@|$!](?=[^\W\d_])|^[\d@|$](?=[^\W\d_]{3})|(?<=[^\W\d_]{4})[\d@|$]$")
@@ -94,8 +94,15 @@ class Model:
 
     def __init__(self, known: set[str], confusions: dict[str, list[str]], editor: dict, furniture: dict):
         self.known, self.confusions, self.editor, self.furniture = known, confusions, editor, furniture
-        self.widths = sorted({len(x) for x in confusions}, reverse=True)
+        widths = sorted({len(x) for x in confusions}, reverse=True)
+        self.places = [re.compile("(?=(" + "|".join(re.escape(x) for x in sorted(confusions) if len(x) == n) + "))") for n in widths]
         self.cache: dict[str, str | None] = {}
+        # of each kind of feature of a line, how much it can speak for furniture at most
+        self.line_weight = {f: furniture.get((f, "yes"), 0.0) - furniture.get((f, "no"), 0.0) for f, _ in furniture}
+        self.most: dict[str, float] = defaultdict(float)
+        for f, w in self.line_weight.items():
+            self.most[f.split(" ")[0]] = max(self.most[f.split(" ")[0]], w)
+        self.rest = sum(w for kind, w in self.most.items() if kind in ("place", "broken", "before", "after", "short", "apart"))
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"cache": {}}
@@ -136,7 +143,7 @@ class Model:
                     for new, at2, wrong2, right2 in self._edits(once):
                         if new in self.known and (margin := self._margin(once, at2, wrong2, right2)) > 0 and (best is None or margin > best[0]):
                             best = (margin, new)
-        if best is not None and best[0] > 0:
+        if best is not None and (best[0] > 0 or _INNER.search(word)):
             return best[1]
         odd = sum(not c.isalpha() for c in word)
         if _INNER.search(word) and odd * 4 <= len(word):  # no known word, but no letter either
@@ -150,10 +157,11 @@ class Model:
         return None
 
     def _edits(self, word: str) -> Iterator[tuple[str, int, str, str]]:
-        for n in self.widths:
-            for i in range(len(word) - n + 1):
-                for right in self.confusions.get(word[i : i + n], ()):
-                    yield word[:i] + right + word[i + n :], i, word[i : i + n], right
+        for places in self.places:
+            for m in places.finditer(word):
+                i, wrong = m.start(), m[1]
+                for right in self.confusions[wrong]:
+                    yield word[:i] + right + word[i + len(wrong) :], i, wrong, right
 
     def _margin(self, word: str, at: int, wrong: str, right: str) -> float:
         """By how much the editor prefers the operations of an edit to keeping the characters."""
@@ -165,8 +173,29 @@ class Model:
         return out
 
     def is_header(self, lines: list[str], i: int) -> bool:
-        fs = line_features(lines, i, self.known)
-        return sum(self.furniture.get((f, "yes"), 0.0) - self.furniture.get((f, "no"), 0.0) for f in fs) > 0
+        weight = self.line_weight
+        # most lines are settled by their case and known words, whatever the other features say
+        line = lines[i].strip()
+        words = line.split()
+        lower = [w for w in words if w[0].islower()]
+        caps = not lower and all(w[0].isupper() for w in words if w[0].isalpha())
+        low = sum(w in self.known and w.islower() for w in lower[:4]) > 1
+        got = (f"caps {caps}", f"low {low}", f"upper {line.isupper()}", f"ends {line[-1:] in '.;:,'}", f"first {words[0] if words else ''}", "bias")
+        if sum([weight.get(f, 0.0) for f in got]) + self.rest <= 0:
+            return False
+        return sum(weight.get(f, 0.0) for f in line_features(lines, i, self.known)) > 0
+
+    def mend_all(self, words: list[str]) -> list[str]:
+        """Words with those that are misread replaced; the same list if none is."""
+        cache, out = self.cache, words
+        for i, w in enumerate(words):
+            m = cache.get(w, "")
+            if m == "":
+                m = self.mended(w)
+            if m is not None:
+                out = list(words) if out is words else out
+                out[i] = w.replace(w.strip(_EDGE), m)
+        return out
 
 
 def line_features(lines: list[str], i: int, known: set[str]) -> list[str]:
@@ -183,7 +212,7 @@ def line_features(lines: list[str], i: int, known: set[str]) -> list[str]:
         "place " + ("first" if not before else "last" if not after else "mid"),
         f"caps {caps == len(letters)}",
         f"upper {line.isupper()}",
-        f"low {sum(w in known and w.islower() for w in letters) > 1}",
+        f"low {sum(w in known and w.islower() for w in [x for x in letters if x[0].islower()][:4]) > 1}",
         f"ends {line[-1:] in '.;:,'}",
         f"broken {bool(_BROKEN.search(lines[i]))}",
         f"before {before[-1:] in '.;:' if before else 'none'}",
@@ -205,8 +234,8 @@ def read(raw: str, model: Model) -> tuple[set[str], str]:
     kinds: set[str] = set()
     if "\n" not in raw:
         words = raw.split(" ")
-        out = [w if (m := model.mended(w)) is None else w.replace(w.strip(_EDGE), m) for w in words]
-        if out != words:
+        out = model.mend_all(words)
+        if out is not words:
             kinds.add("misread")
         return kinds, " ".join(out)
     lines = raw.replace("\r\n", "\n").replace("\r", "\n").split("\n")
@@ -218,7 +247,7 @@ def read(raw: str, model: Model) -> tuple[set[str], str]:
             continue
         if PAGE.match(s):
             marks.append((len(body), ("page_number",), s))
-        elif (m := _TAIL_PAGE.match(s)) and model.is_header([*lines[:i], m[1], *lines[i + 1 :]], i):
+        elif "  " in s and (m := _TAIL_PAGE.match(s)) and model.is_header([*lines[:i], m[1], *lines[i + 1 :]], i):
             marks.append((len(body), ("running_header", "page_number"), s))
         elif len(lines) > 1 and model.is_header(lines, i):
             marks.append((len(body), ("running_header",), s))
@@ -229,24 +258,22 @@ def read(raw: str, model: Model) -> tuple[set[str], str]:
             kinds.update(names)
     if not body:
         return kinds, raw.strip()
-    joined = body[0].rstrip()
+    parts = [body[0].strip()]
     for line in body[1:]:
-        m, n = _BROKEN.search(joined), _FIRST.match(line)
-        if m and n and not n[1][0].isdigit():
-            a, b = m[1], n[1]
-            if _own_hyphen(a, b, joined[m.end(1)], model):
-                joined += line.strip()
-            else:
-                kinds.add("split_word")
-                joined = joined[: m.end(1)] + line.strip()
-        elif m and n:
-            joined += line.strip()
+        line, last = line.strip(), parts[-1]
+        m = _BROKEN.search(last[-80:]) if last[-1:] in MARKS else None
+        n = _FIRST.match(line) if m else None
+        if not n:
+            parts.append(" " + line)
+        elif n[1][0].isdigit() or _own_hyphen(m[1], n[1], last[-1], model):
+            parts.append(line)
         else:
-            joined += " " + line.strip()
-        joined = joined.rstrip()
-    words = joined.split()
-    out = [w if (m := model.mended(w)) is None else w.replace(w.strip(_EDGE), m) for w in words]
-    if out != words:
+            kinds.add("split_word")
+            parts[-1] = last[:-1]
+            parts.append(line)
+    words = "".join(parts).split()
+    out = model.mend_all(words)
+    if out is not words:
         kinds.add("misread")
     return kinds, " ".join(out)
 
@@ -271,6 +298,7 @@ def _own_hyphen(a: str, b: str, mark: str, model: Model) -> bool:
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Counts of the words of a partition; parts of words broken at a line end are left out."""
     counts: Counter = Counter()
+    n_texts = 0
 
     def out() -> pd.DataFrame:
         plain: Counter = Counter()
@@ -282,6 +310,7 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return pd.DataFrame({"word": list(plain), "n": list(plain.values())}).astype({"n": "int64"})
 
     for d in batches:
+        n_texts += len(d)
         for raw in d["text"]:
             if "\n" in raw:
                 skip = False
@@ -296,6 +325,7 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if len(counts) > FLUSH:
                 yield out()
     yield out()
+    yield pd.DataFrame({"word": [""], "n": [n_texts]})  # the number of texts, under no word
 
 
 def _windows(word: str) -> Iterator[tuple[tuple[str, str], str]]:
@@ -412,11 +442,14 @@ def fitted(texts: DataFrame) -> Model:
     rows = texts.filter(F.length("text") > 0)
     counted = rows.select("text").mapInPandas(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counted = counted.persist()
-    total = counted.agg(F.sum("n")).first()[0] or 0
-    often = {r.word: r.n for r in counted.filter(F.col("n") >= max(3, SEEN * total)).collect()}  # at most 1 / SEEN words
+    total = counted.filter("word <> ''").agg(F.sum("n")).first()[0] or 0
+    often = {r.word: r.n for r in counted.filter((F.col("n") >= max(3, SEEN * total)) | (F.col("word") == "")).collect()}  # at most 1 / SEEN words
     counted.unpersist()
-    block = F.floor(F.xxhash64("item_key") / F.lit(1 << 61))
-    some = rows.orderBy(F.xxhash64("doc", block), "item_key").limit(SAMPLE).select("doc", "text").collect()
+    n_texts = often.pop("", 0)
+    # whole stretches of documents, by a hash; a quarter more than needed, so that the limit cuts little
+    block = F.pmod(F.xxhash64("doc", F.pmod(F.xxhash64("item_key"), F.lit(8))), F.lit(1 << 20))
+    share = int((1 << 20) * min(1.0, 1.25 * SAMPLE / max(1, n_texts))) + 1
+    some = rows.filter(block < share).limit(SAMPLE).select("doc", "text").collect()
     return fit(often, total, [(r.doc, r.text) for r in some])
 
 
