@@ -49,7 +49,7 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
         return take
     if budget >= total:
         return np.where(usable, counts, 0)
-    take[usable] = counts[usable] * budget // total
+    take[usable] = counts[usable] * max(0, budget - REST) // total  # a rest stays for the knapsack
     left = budget - int((lengths * take).sum())
     order = np.argsort(-lengths, kind="stable")
     for i in order:

@@ -29,6 +29,7 @@ from lontar.stage import Stages
 SHARE = 0.004  # a frequent word is in so large a part of the names, so there are at most a few hundred
 PARTNERS = 10  # and beside so many other words
 OUTWEIGHS = 0.75  # part of a form's weight that its owner must have
+LONGEST = 60  # letters of an anchor whose slips are looked for
 WORDS = 4  # words beside the anchor of which all combinations are rewritten
 
 # Titles before and degrees behind a name, and legal forms spelt out.
@@ -88,7 +89,7 @@ class Lexicon:
             return [self.forms[bare]]
         if bare in self.words:
             return [bare]
-        if len(bare) < 2:
+        if not 2 <= len(bare) <= LONGEST:
             return []
         if len(bare) >= 4 or token.endswith("."):
             near = sorted({w for s in shorter(bare) for w in self.near.get(s, ()) if one_slip(bare, w)})
@@ -178,7 +179,7 @@ def _read(batches: Iterator[pd.DataFrame], lex: Lexicon, firm: bool) -> Iterator
                 continue
             found = reader(text, lex)
             for anchor, words, tag in found:
-                rows.append((text, n, len(found), anchor, " ".join(words), tag, sorted({w[0] for w in words}) or [""], sorted(shorter(anchor)) if len(anchor) > 3 else [anchor]))
+                rows.append((text, n, len(found), anchor, " ".join(words), tag, sorted({w[0] for w in words}) or [""], sorted(shorter(anchor)) if 3 < len(anchor) <= LONGEST else [anchor]))
         yield pd.DataFrame(rows, columns=["text", "n", "choices", "anchor", "words", "tag", "initials", "shorter"])
 
 

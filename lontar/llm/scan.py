@@ -43,7 +43,8 @@ _INNER = re.compile(r"(?<=[^\W\d_])[\d@|$!](?=[^\W\d_])|^[\d@|$](?=[^\W\d_]{3})|
 
 
 class Perceptron:
-    """An averaged perceptron over named features, for a few classes."""
+    """An averaged perceptron over named features, for a few classes; it also learns from what
+    it gets right by less than a margin of one."""
 
     def __init__(self):
         self.w: dict[tuple[str, str], float] = defaultdict(float)
@@ -55,8 +56,11 @@ class Perceptron:
 
     def learn(self, features: list[str], label: str, labels: list[str]) -> None:
         self.t += 1
-        guess = max(labels, key=lambda y: (self.score(features, y), y))
-        if guess != label:
+        guess, best = "", float("-inf")
+        for y in labels:
+            if y != label and (x := self.score(features, y)) > best:
+                guess, best = y, x
+        if best > self.score(features, label) - 1.0:
             for f in features:
                 for y, step in ((label, 1.0), (guess, -1.0)):
                     self.w[f, y] += step
@@ -307,7 +311,7 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if 2 < len(w) <= 40 and _LETTER.search(w):
                 plain[w] += n
         counts.clear()
-        return pd.DataFrame({"word": list(plain), "n": list(plain.values())}).astype({"n": "int64"})
+        return pd.DataFrame({"word": pd.Series(list(plain), dtype=object), "n": pd.Series(list(plain.values()), dtype="int64")})
 
     for d in batches:
         n_texts += len(d)
@@ -347,8 +351,9 @@ def fit(counts: dict[str, int], total: float, sample: list[tuple[str, str]]) ->
     pairs: dict[tuple[str, str], set[str]] = defaultdict(set)
     aligned: list[tuple[str, int, str, str]] = []
     for w, n in here.items():
-        if w in known or len(w) < 4 or len(w) > 40 or "-" in w or not _LETTER.search(w):
+        if len(w) < 4 or len(w) > 40 or "-" in w or not _LETTER.search(w):
             continue
+        n = max(n, counts.get(w, 0))
         found = {(k, len(key[0]), mid, right) for key, mid in _windows(w) for k, right in index.get(key, ()) if mid != right and not (mid[0] == right[0] or mid[-1] == right[-1]) and len(mid) + len(right) <= 4 and counts[k] >= TIMES * n}
         words = {k for k, *_ in found}
         if len(words) == 1:
@@ -375,8 +380,9 @@ def fit(counts: dict[str, int], total: float, sample: list[tuple[str, str]]) ->
                     editor.learn(_features(w, i), "keep", labels)
     furniture = _fit_furniture(sample, known)
     model = Model(known, dict(confusions), editor.averaged(), furniture)
-    more = {w for w, n in counts.items() if n >= max(3, SEEN * total) and w not in known}
-    for w in sorted(more):
+    # the less frequent words too, and none that a confusion makes of a much more frequent one
+    for w in sorted(w for w, n in counts.items() if n >= max(3, SEEN * total)):
+        known.discard(w)
         better = model._mended(w)
         if not (better and counts.get(better, 0) >= TIMES * counts[w]) and not _INNER.search(w):
             known.add(w)
