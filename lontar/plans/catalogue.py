@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lontar.plans import hierarchy, nested, search, snapshots, texts
+from lontar.plans import hierarchy, nested, pages, search, snapshots, texts
 
-MODULES = [hierarchy, nested, snapshots, texts, search]
+MODULES = [hierarchy, nested, snapshots, texts, search, pages]
 
 
 def queries() -> dict:
