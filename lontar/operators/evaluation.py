@@ -55,8 +55,8 @@ def structure_score(reference: DataFrame, candidate: DataFrame, keys: list[str])
     """keys, matched, precision, recall, f1, parent_accuracy, depth_accuracy of units (keys, unit, parent_path, depth, ord)
     compared as multisets; the k-th of equal units meets the k-th."""
     w = Window.partitionBy(*keys, "unit").orderBy("ord")
-    k = lambda d, s: d.withColumn("k", F.row_number().over(w)).select(*keys, "unit", "k", F.col("parent_path").alias(f"p{s}"), F.col("depth").alias(f"d{s}"), F.lit(1).alias(f"has{s}"))
-    d = k(reference, "a").join(k(candidate, "b"), [*keys, "unit", "k"], "full")
+    k = lambda d, s: d.withColumn("kth", F.row_number().over(w)).select(*keys, "unit", "kth", F.col("parent_path").alias(f"p{s}"), F.col("depth").alias(f"d{s}"), F.lit(1).alias(f"has{s}"))
+    d = k(reference, "a").join(k(candidate, "b"), [*keys, "unit", "kth"], "full")
     both = F.col("hasa").isNotNull() & F.col("hasb").isNotNull()
     g = d.groupBy(*keys).agg(F.sum(both.cast("int")).alias("matched"), F.count("hasa").alias("na"), F.count("hasb").alias("nb"), F.sum((both & F.col("pa").eqNullSafe(F.col("pb"))).cast("int")).alias("same_p"), F.sum((both & F.col("da").eqNullSafe(F.col("db"))).cast("int")).alias("same_d"))
     part = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(0.0)

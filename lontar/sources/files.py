@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 def json_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A folder of JSON documents, one a file; files that are no JSON are left out."""
-    rows = spark.read.json(path, schema=f"{schema}, _corrupt string", multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt")
-    return rows.withColumn("file", F.input_file_name()).filter("_corrupt is null").drop("_corrupt")
+    read = F.from_json("raw", f"{schema}, _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    return raw_texts(spark, path).select("file", read.alias("r")).filter("r is not null and r._corrupt is null").select("file", "r.*").drop("_corrupt")
 
 
 def raw_texts(spark: SparkSession, path: str) -> DataFrame:
