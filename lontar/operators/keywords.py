@@ -30,13 +30,12 @@ def stopwords(listed: list[str]) -> list[str]:
 
 def phrases(texts: DataFrame, key: str, text: str, stop: list[str]) -> DataFrame:
     """key, phrase_no, words: runs of content words between punctuation and stopwords, at most
-    WORDS long. One pass over each text's tokens, folded in order."""
+    WORDS long. Tokens are put together again with a mark for each break and cut at the marks."""
     parts = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(f"{_BREAK}|{_WORD}"), F.lit(0))
     ends = lambda t: t.rlike(f"^{_BREAK}$") | (F.length(t) < LEAST) | F.lower(t).isin(stop)
-    start = F.struct(F.array().cast("array<array<string>>").alias("done"), F.array().cast("array<string>").alias("run"))
-    keep = lambda a: F.when(F.size(a["run"]).between(1, WORDS), F.concat(a["done"], F.array(a["run"]))).otherwise(a["done"])
-    step = lambda a, t: F.when(ends(t), F.struct(keep(a).alias("done"), F.array().cast("array<string>").alias("run"))).otherwise(F.struct(a["done"].alias("done"), F.concat(a["run"], F.array(t)).alias("run")))
-    found = F.aggregate(parts, start, step, keep)
+    marked = F.array_join(F.transform(parts, lambda t: F.when(ends(t), F.lit("|")).otherwise(t)), " ")
+    runs = F.filter(F.transform(F.split(marked, r"\|"), F.trim), lambda r: r != "")
+    found = F.filter(F.transform(runs, lambda r: F.split(r, " ")), lambda ws: F.size(ws) <= WORDS)
     return texts.select(key, F.posexplode(found).alias("phrase_no", "words"))
 
 
