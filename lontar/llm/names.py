@@ -265,7 +265,8 @@ def linked(parties: DataFrame, key: str, field: str, forms: DataFrame, firm: boo
     """
     rows = parties.select(F.col(key).cast("long").alias("key"), F.col(field).alias("text")).filter(F.col("key").isNotNull() & (F.length(F.trim("text")) > 0)).distinct()
     found = entities(rows.groupBy("text").agg(F.count("*").alias("n")), forms, firm)
-    return rows.join(found, "text").select("key", "text", "entity")
+    # written, as pairs read it three times
+    return Stages(parties.sparkSession, "links").write(rows.join(found, "text").select("key", "text", "entity"), "links")
 
 
 def pairs(links: DataFrame) -> DataFrame:
