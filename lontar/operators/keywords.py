@@ -34,7 +34,7 @@ def phrases(texts: DataFrame, key: str, text: str, stop: list[str]) -> DataFrame
     parts = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(f"{_BREAK}|{_WORD}"), F.lit(0))
     ends = lambda t: t.rlike(f"^{_BREAK}$") | (F.length(t) < LEAST) | F.lower(t).isin(stop)
     marked = F.array_join(F.transform(parts, lambda t: F.when(ends(t), F.lit("|")).otherwise(t)), " ")
-    runs = F.filter(F.transform(F.split(marked, r"\|"), F.trim), lambda r: r != "")
+    runs = F.filter(F.transform(F.split(marked, r"\|"), lambda r: F.trim(r)), lambda r: r != "")
     found = F.filter(F.transform(runs, lambda r: F.split(r, " ")), lambda ws: F.size(ws) <= WORDS)
     return texts.select(key, F.posexplode(found).alias("phrase_no", "words"))
 
