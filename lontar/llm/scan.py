@@ -98,6 +98,7 @@ class Model:
 
     def __init__(self, known: set[str], confusions: dict[str, list[str]], editor: dict, furniture: dict):
         self.known, self.confusions, self.editor, self.furniture = known, confusions, editor, furniture
+        self.join: dict[tuple[str, str], float] = {}
         widths = sorted({len(x) for x in confusions}, reverse=True)
         self.places = [re.compile("(?=(" + "|".join(re.escape(x) for x in sorted(confusions) if len(x) == n) + "))") for n in widths]
         self.cache: dict[str, str | None] = {}
@@ -282,18 +283,28 @@ def read(raw: str, model: Model) -> tuple[set[str], str]:
     return kinds, " ".join(out)
 
 
+def join_features(a: str, b: str, mark: str, known: set[str], mended) -> list[str]:
+    """What the editor sees at a line end: the mark, and whether the word is known when joined,
+    when it keeps its hyphen, and in its parts."""
+    whole, hyphen = a + b, f"{a}-{b}"
+    has = lambda w: w in known or w.lower() in known
+    return [
+        "bias",
+        f"mark {'-' if mark == '-' else 'other'}",
+        f"whole {has(whole) or bool(mended(whole))}",
+        f"hyphen {has(hyphen) or bool(mended(hyphen))}",
+        f"a {has(a)}",
+        f"b {has(b)}",
+        f"twice {a.lower() == b.lower()}",
+    ]
+
+
 def _own_hyphen(a: str, b: str, mark: str, model: Model) -> bool:
-    """Whether the hyphen between two parts of a word belongs to it."""
+    """Whether the hyphen between two parts of a word belongs to it, as the editor predicts."""
     if mark != "-":
         return False
-    whole, with_hyphen = a + b, f"{a}-{b}"
-    if with_hyphen in model.known or with_hyphen.lower() in model.known:
-        return True
-    if whole in model.known or whole.lower() in model.known or model.mended(whole):
-        return False
-    if model.mended(with_hyphen):
-        return True
-    return a.lower() == b.lower()
+    weight = model.join
+    return sum(weight.get((f, "keep"), 0.0) - weight.get((f, "join"), 0.0) for f in join_features(a, b, mark, model.known, model.mended)) > 0
 
 
 # ---- fitting ------------------------------------------------------------------------
@@ -387,9 +398,37 @@ def fit(counts: dict[str, int], total: float, sample: list[tuple[str, str]]) ->
         if not (better and counts.get(better, 0) >= TIMES * counts[w]) and not _INNER.search(w):
             known.add(w)
     model.cache.clear()
+    model.join = _fit_joins(sample, model)
     return model
 
 
+def _fit_joins(sample: list[tuple[str, str]], model: Model) -> dict:
+    """Known words broken on purpose, at their hyphen or in the middle, and the words broken at
+    line ends of the sample that are known either joined or with the hyphen, not both ways. A
+    word repeated with itself keeps its hyphen."""
+    p = Perceptron()
+    rows = [(["bias", "mark -", "whole False", "hyphen False", "a True", "b True", "twice True"], "keep"), (["bias", "mark -", "whole False", "hyphen False", "a False", "b False", "twice False"], "join")]
+    hyphened = sorted(w for w in model.known if re.fullmatch(r"[^\W\d_]+-[^\W\d_]+", w))[:500]
+    plain = sorted(w for w in model.known if w.isalpha() and len(w) > 5)[: max(20, len(hyphened))]
+    for w in hyphened:
+        rows.append((join_features(*w.split("-"), "-", model.known, model.mended), "keep"))
+    for w in plain:
+        rows.append((join_features(w[: len(w) // 2], w[len(w) // 2 :], "-", model.known, model.mended), "join"))
+    for _, t in sample:
+        lines = [x.strip() for x in t.split("\n")] if "\n" in t else []
+        for one, two in zip(lines, lines[1:], strict=False):
+            m = _BROKEN.search(one[-80:]) if one[-1:] == "-" else None
+            n = _FIRST.match(two) if m else None
+            if n and not n[1][0].isdigit():
+                fs = join_features(m[1], n[1], "-", model.known, model.mended)
+                if ("whole True" in fs) != ("hyphen True" in fs):
+                    rows.append((fs, "join" if "whole True" in fs else "keep"))
+    for _ in range(EPOCHS):
+        for fs, label in rows[:20_000]:
+            p.learn(fs, label, ["join", "keep"])
+    return p.averaged()
+
+
 def _fit_furniture(sample: list[tuple[str, str]], known: set[str]) -> dict:
     """Lines that recur in a document and hardly in others, digits aside, against the rest."""
     recur: dict[tuple[str, str], int] = Counter()
