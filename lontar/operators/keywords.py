@@ -42,11 +42,11 @@ def phrases(texts: DataFrame, key: str, text: str, stop: list[str]) -> DataFrame
 def scores(found: DataFrame, key: str) -> DataFrame:
     """key, phrase (lower case), surface (first written form), first_no, score: sum over the words of
     degree by frequency, where a word's degree is the length of all phrases that have it."""
-    words = found.select(key, "phrase_no", F.size("words").alias("len"), F.explode("words").alias("w")).withColumn("w", F.lower("w"))
-    value = words.groupBy(key, "w").agg((F.sum("len") / F.count("*")).alias("v"))
-    summed = words.join(value, [key, "w"]).groupBy(key, "phrase_no").agg(F.sum("v").alias("score"))
-    d = found.join(summed, [key, "phrase_no"]).withColumn("phrase", F.lower(F.array_join("words", " ")))
-    return d.groupBy(key, "phrase").agg(F.min_by(F.array_join("words", " "), "phrase_no").alias("surface"), F.min("phrase_no").alias("first_no"), F.first("score").alias("score"))
+    surface = F.array_join("words", " ")
+    words = found.select(key, "phrase_no", surface.alias("surface"), F.size("words").alias("len"), F.explode("words").alias("w"))
+    words = words.withColumn("v", F.avg("len").over(Window.partitionBy(key, F.lower("w"))))  # one document's places of one word
+    each = words.groupBy(key, "phrase_no", "surface").agg(F.sum("v").alias("score"))
+    return each.groupBy(key, F.lower("surface").alias("phrase")).agg(F.min_by("surface", "phrase_no").alias("surface"), F.min("phrase_no").alias("first_no"), F.first("score").alias("score"))
 
 
 def display(phrase: Column) -> Column:

@@ -16,6 +16,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local: list[str] = []
+_bases: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -33,16 +34,26 @@ def shared_folder(spark: SparkSession) -> str:
 
 @atexit.register
 def _sweep() -> None:
-    for folder in _local:
+    for folder in (*_local, *(b.removeprefix("file://") for b in _bases if b.startswith(("/", "file://")))):
         shutil.rmtree(folder, ignore_errors=True)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Delete all stages of this process, on any file system. Their results can't be read after that."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _bases:
+        path = jvm.org.apache.hadoop.fs.Path(_bases.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 class Stages:
-    """Tables written by one run of an operator, each under a name of its own."""
+    """Tables written by one run of an operator, each under a name of its own. They stay until
+    the driver ends, as results read them lazily, or until :func:`sweep`."""
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.base = f"{shared_folder(spark)}/lontar-{label}-{uuid.uuid4().hex}"
+        _bases.append(self.base)
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and return the table read back with the same schema."""
