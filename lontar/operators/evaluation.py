@@ -99,3 +99,9 @@ def _ratio(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def fuzzy_ratios(pairs: DataFrame) -> DataFrame:
     """key, ratio: how much of two strings (key, a, b) matches in order, case aside."""
     return pairs.select(F.col("key").cast("string").alias("key"), "a", "b").mapInPandas(_ratio, "key string, ratio double")
+
+
+def gate(hits: DataFrame, expected: DataFrame, max_rank: int) -> DataFrame:
+    """query_id, rank, passed: the best rank at which an expected row (query_id, id) was found, null if it was not."""
+    found = expected.join(hits.select("query_id", "id", "rank"), ["query_id", "id"], "left").groupBy("query_id").agg(F.min("rank").alias("rank"))
+    return found.withColumn("passed", F.coalesce(F.col("rank") <= max_rank, F.lit(False)))

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lontar.functions.numbering import numbering
-from lontar.operators import evaluation, layout, outline
+from lontar.operators import evaluation, layout, outline, segments
 from lontar.plans.texts import N, documents, nodes
 
 
@@ -61,6 +62,29 @@ def document_outlines(spark, sf_dir):
     return d.select(F.col("doc").cast("long").alias("doc_id"), "node_no", "parent_no", "depth", "node_type", "label", "path")
 
 
+MARKERS = [("agreement", r"(?i)^\s*(?:surat )?perjanjian\b|^\s*agreement\b"), ("articles", r"(?i)^\s*pasal \d+"), ("closing", r"(?i)^\s*(?:ditandatangani|signed at)\b")]
+
+
+def _lines(spark, sf_dir):
+    return documents(spark, sf_dir).filter("length(text) > 0").select(F.col("doc_id").alias("doc"), F.posexplode(F.split(F.regexp_replace("text", "\r\n?", "\n"), "\n")).alias("line_no", "text"))
+
+
+def document_parts(spark, sf_dir):
+    """Lines of each part of a document."""
+    d = segments.parts(_lines(spark, sf_dir), MARKERS)
+    return d.groupBy(F.col("doc").alias("doc_id"), F.coalesce("part", F.lit("")).alias("part")).agg(F.count("*").alias("n_lines"), F.min("line_no").alias("first_line"))
+
+
+def contents_runs(spark, sf_dir):
+    d = nodes(spark, sf_dir).filter("length(text_raw) > 0").select(F.col("document_key").alias("doc"), F.row_number().over(Window.partitionBy("document_key").orderBy("reading_order", "node_id")).alias("line_no"), F.col("text_raw").alias("text"))
+    return segments.contents_runs(d)
+
+
+def line_headings(spark, sf_dir):
+    d = segments.headings(_lines(spark, sf_dir)).filter("is_heading")
+    return d.select(F.col("doc").alias("doc_id"), "line_no", "score")
+
+
 def quality_tree(spark, sf_dir):
     return evaluation.tree_integrity(nodes(spark, sf_dir))
 
@@ -103,7 +127,7 @@ def fuzzy_names(spark, sf_dir):
     return evaluation.fuzzy_ratios(d.select(F.col("doc_id").alias("key"), F.col("contract_name").alias("a"), F.regexp_replace(F.regexp_replace("filename", r"\.[^.]*$", ""), "_", " ").alias("b")))
 
 
-QUERIES = {f.__name__: f for f in (page_routes, page_lines, page_layouts, page_corridors, page_blocks, document_outlines, quality_tree, quality_duplicates, quality_conservation, quality_identifiers, quality_encoding, quality_gapless, structure_scores, review_samples, fuzzy_names)}
+QUERIES = {f.__name__: f for f in (page_routes, page_lines, page_layouts, page_corridors, page_blocks, document_outlines, document_parts, contents_runs, line_headings, quality_tree, quality_duplicates, quality_conservation, quality_identifiers, quality_encoding, quality_gapless, structure_scores, review_samples, fuzzy_names)}
 
 _WORDS = r"""l AS (SELECT doc_id, unnest(range(len(ls))) AS i, unnest(ls) AS line FROM (SELECT doc_id, string_split(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(10)) AS ls FROM documents WHERE length(text) > 0)),
 w AS (SELECT doc_id, i, unnest(range(len(ws))) AS k, unnest(ws) AS text, ws FROM (SELECT doc_id, i, string_split(line, ' ') AS ws FROM l))"""
@@ -114,6 +138,11 @@ SQL = {
     "page_lines": f"WITH {_WORDS} SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS line, n_words, top FROM (SELECT doc_id, i, count(*) AS n_words, (72 + 14 * i)::DOUBLE AS top FROM w WHERE length(text) > 0 GROUP BY ALL)",
     "page_blocks": f"""WITH {_PLACED} SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS block_idx, 0::INT AS column_index, text, x0, top
 FROM (SELECT doc_id, i, string_agg(text, ' ' ORDER BY k) AS text, min(x0) AS x0, min(top) AS top FROM p GROUP BY ALL)""",
+    "document_parts": r"""WITH l AS (SELECT doc_id, unnest(range(len(ls)))::INT AS line_no, unnest(ls) AS line FROM (SELECT doc_id, string_split(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(10)) AS ls FROM documents WHERE length(text) > 0)),
+m AS (SELECT *, CASE WHEN regexp_matches(line, '(?:\.{3,}|\s{3,}|…+)\s*\d{1,4}\s*$') THEN NULL WHEN regexp_matches(line, '(?i)^\s*(?:surat )?perjanjian\b|^\s*agreement\b') THEN 'agreement' WHEN regexp_matches(line, '(?i)^\s*pasal \d+') THEN 'articles' WHEN regexp_matches(line, '(?i)^\s*(?:ditandatangani|signed at)\b') THEN 'closing' END AS met FROM l),
+f AS (SELECT doc_id, line_no, CASE WHEN row_number() OVER (PARTITION BY doc_id, met ORDER BY line_no) = 1 THEN met END AS met FROM m),
+p AS (SELECT doc_id, line_no, coalesce(last_value(met IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no ROWS UNBOUNDED PRECEDING), '') AS part FROM f)
+SELECT doc_id, part, count(*) AS n_lines, min(line_no) AS first_line FROM p GROUP BY ALL""",
     "quality_tree": f"""WITH {N} SELECT a.document_key, sum((b.node_id IS NULL)::INT)::BIGINT AS orphans, coalesce(sum((a.depth <= b.depth)::INT), 0)::BIGINT AS not_deeper
 FROM nodes a LEFT JOIN nodes b ON a.document_key = b.document_key AND a.parent_id = b.node_id WHERE a.parent_id <> '' GROUP BY 1""",
     "quality_duplicates": f"WITH {N} SELECT document_key, count(*) - count(DISTINCT (coalesce(pages[1], -1), text_raw)) AS duplicates FROM nodes WHERE length(text_raw) > 0 GROUP BY 1",

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lontar.functions.text import STOPWORDS
-from lontar.operators import answers, keywords, registry, retrieval
+from lontar.operators import answers, evaluation, keywords, registry, retrieval
 from lontar.plans.texts import N, documents, nodes
 
 STOP = keywords.stopwords(STOPWORDS)
@@ -49,6 +49,12 @@ def search_recall(spark, sf_dir):
     return retrieval.recall_by_distance(near, near)
 
 
+def search_gate(spark, sf_dir):
+    """Whether a document is among the five best for its own contract name."""
+    asked = _asked(spark, sf_dir)
+    return evaluation.gate(retrieval.bm25(_corpus(spark, sf_dir), asked, K), asked.select("query_id", F.col("query_id").alias("id")), K)
+
+
 def keyword_scores(spark, sf_dir):
     d = keywords.scores(keywords.phrases(documents(spark, sf_dir), "doc_id", "text", STOP), "doc_id")
     return d.filter(~F.col("phrase").rlike("[^ -~]")).select("doc_id", "phrase", F.round("score", 6).alias("score"))
@@ -107,7 +113,7 @@ def answers_expand(spark, sf_dir):
     return answers.expand(d.filter("node_type = 'article' and size(path) = 1"), d)
 
 
-QUERIES = {f.__name__: f for f in (search_bm25, search_vectors, search_hybrid, search_recall, keyword_scores, keyword_top, keyword_seeds, registry_documents, registry_upsert, registry_current, registry_filenames, registry_search, answers_collapse, answers_address, answers_expand)}
+QUERIES = {f.__name__: f for f in (search_bm25, search_vectors, search_hybrid, search_recall, search_gate, keyword_scores, keyword_top, keyword_seeds, registry_documents, registry_upsert, registry_current, registry_filenames, registry_search, answers_collapse, answers_address, answers_expand)}
 
 _TOKENS = r"regexp_extract_all(lower(coalesce({c}, '')), '[0-9]+(?:\.[0-9]+)+|[\p{{L}}\p{{N}}_]+')"
 _BM25 = f"""t AS (SELECT doc_id AS id, {_TOKENS.format(c="text")} AS t FROM documents), sz AS (SELECT count(*) AS n, avg(len(t)) AS mean FROM t),
@@ -127,6 +133,7 @@ SQL = {
     "search_hybrid": f"""WITH {_BM25}, {_NEAR}, b AS (SELECT query_id, id, rank, 0 AS r FROM near WHERE rank <= 50 UNION ALL SELECT query_id, id, rank, 1 FROM lex WHERE rank <= 50),
 s AS (SELECT query_id, id, sum(1.0::DOUBLE / (60 + rank)) AS score, min((r, rank)) AS best FROM b GROUP BY ALL), k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, best, id) AS rank FROM s)
 SELECT query_id, id, rank::INT AS rank, round(score, 9) AS score FROM k WHERE rank <= 5""",
+    "search_gate": f"WITH {_BM25}, a AS (SELECT doc_id AS query_id FROM documents WHERE doc_id % 20 = 0 AND contract_name IS NOT NULL) SELECT a.query_id, rank::INT AS rank, rank IS NOT NULL AS passed FROM a LEFT JOIN (SELECT * FROM lex WHERE rank <= 5) l ON l.query_id = a.query_id AND l.id = a.query_id",
     "search_recall": "SELECT vec_id AS query_id, 1.0::DOUBLE AS recall FROM embeddings WHERE vec_id % 20 = 0",
     "keyword_scores": rf"""WITH t AS (SELECT doc_id, unnest(range(len(ts))) AS i, unnest(ts) AS w FROM (SELECT doc_id, regexp_extract_all(text, '[,.;:!?()\[\]{{}}"''–—|/]+|\p{{L}}+(?:[-''][\p{{L}}]+)*') AS ts FROM documents)),
 m AS (SELECT *, regexp_matches(w, '^[,.;:!?()\[\]{{}}"''–—|/]') OR length(w) < 3 OR lower(w) IN ({_STOP}) AS stop FROM t),
