@@ -71,6 +71,17 @@ def date(raw: Column) -> Column:
     )
 
 
+# Marks of an amount and of a date in running text; a day needs the name of a month.
+AMOUNT = r"(?:Rp|IDR)\s+[\d.,]+"
+_NAMES = "|".join(sorted(MONTHS, key=len, reverse=True))
+DATE = rf"\b\d{{1,2}}\s+(?i:{_NAMES})\s+\d{{4}}\b|\b\d{{1,2}}[/\-.]\d{{1,2}}[/\-.]\d{{2,4}}\b|\b(?i:tahun\s+anggaran|tahun|TA\.?|T\.A\.?)\s+\d{{4}}\b"
+
+
+def every(text: Column, mark: str) -> Column:
+    """All places of a mark, from left to right."""
+    return F.regexp_extract_all(text, F.lit(mark), F.lit(0))
+
+
 def rate(raw: Column) -> Column:
     """A rate per mille, per cent or as a fraction, in this order of kinds; null without one."""
     n = lambda p: F.regexp_replace(_found(raw, p), ",", ".").cast("double")

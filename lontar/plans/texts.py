@@ -22,14 +22,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def normalize_amounts(spark, sf_dir):
-    d = nodes(spark, sf_dir)
-    raw = F.regexp_extract("text_raw", r"(?:Rp|IDR)\s+[\d.,]+", 0)
-    return d.filter(F.length(raw) > 0).select("document_key", "node_id", normalize.currency(raw).alias("amount"))
+    """Every amount of a node's text; null where its number is left open."""
+    d = nodes(spark, sf_dir).select("document_key", "node_id", F.posexplode(normalize.every(F.col("text_raw"), normalize.AMOUNT)).alias("position", "raw"))
+    return d.select("document_key", "node_id", "position", normalize.currency(F.col("raw")).alias("amount"))
 
 
 def normalize_dates(spark, sf_dir):
-    d = nodes(spark, sf_dir).select("document_key", "node_id", normalize.date(F.coalesce("text_raw", F.lit(""))).alias("x"))
-    return d.filter("x.precision <> 'none'").select("document_key", "node_id", "x.date", "x.precision")
+    """Every date of a node's text."""
+    d = nodes(spark, sf_dir).select("document_key", "node_id", F.posexplode(normalize.every(F.col("text_raw"), normalize.DATE)).alias("position", "raw"))
+    d = d.select("document_key", "node_id", "position", normalize.date(F.col("raw")).alias("x"))
+    return d.filter("x.precision <> 'none'").select("document_key", "node_id", "position", "x.date", "x.precision")
 
 
 def normalize_rates(spark, sf_dir):
