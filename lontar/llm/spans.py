@@ -90,15 +90,20 @@ def tokens(texts: list[str], k: int, w: int) -> tuple[np.ndarray, np.ndarray, np
     return owner[at], at - start[owner[at]], h[at]
 
 
-def _chain_ends(doc: np.ndarray, pos: np.ndarray, h: np.ndarray, w: int) -> np.ndarray:
-    """Equal tokens less than a window apart mean text that repeats itself. The longest common
-    run of two such stretches lies where their beginnings or their ends are put together, so
-    only the first and the last token of a stretch are kept."""
+def _chains(doc: np.ndarray, pos: np.ndarray, h: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(index of the first token, gap, count). Equal tokens less than a window apart mean text that
+    repeats itself. Those of one gap are one chain; where the gap changes a token is in both chains."""
     order = np.lexsort((pos, h, doc))
     d, p, x = doc[order], pos[order], h[order]
-    follows = np.r_[False, (d[1:] == d[:-1]) & (x[1:] == x[:-1]) & (p[1:] - p[:-1] < w)]
-    followed = np.r_[follows[1:], False]
-    return np.sort(order[~(follows & followed)])
+    near = (d[1:] == d[:-1]) & (x[1:] == x[:-1]) & (p[1:] - p[:-1] < w)
+    gap = np.zeros(len(p) + 1, np.int64)  # to the token before; 0 without one
+    gap[1 : len(p)] = np.where(near, p[1:] - p[:-1], 0)
+    here = gap[:-1]
+    alone = np.flatnonzero((here == 0) & (gap[1:] == 0))
+    begins = np.flatnonzero((here > 0) & (here != np.r_[0, here[:-1]]))
+    ends = np.flatnonzero((here > 0) & (here != gap[1:]))
+    one = np.ones(len(alone), np.int64)
+    return order[np.r_[alone, begins - 1]], np.r_[one * 0, here[begins]], np.r_[one, ends - begins + 2]
 
 
 def _token_rows(batches: Iterator[pd.DataFrame], k: int, w: int) -> Iterator[pd.DataFrame]:
@@ -108,8 +113,8 @@ def _token_rows(batches: Iterator[pd.DataFrame], k: int, w: int) -> Iterator[pd.
         owner, pos, h = tokens([x[2] for x in part], k, w)
         doc = np.array([x[0] for x in part], np.int64)[owner]
         pos = pos + np.array([x[1] for x in part], np.int64)[owner]
-        keep = _chain_ends(owner, pos, h, w)
-        return pd.DataFrame({"h": h[keep].view(np.int64), "doc": doc[keep], "pos": pos[keep].astype(np.int32)})
+        first, gap, n = _chains(owner, pos, h, w)
+        return pd.DataFrame({"h": h[first].view(np.int64), "doc": doc[first], "pos": pos[first].astype(np.int32), "gap": gap.astype(np.int32), "n": n.astype(np.int32)})
 
     for b in batches:
         part, chars = [], 0
@@ -126,19 +131,22 @@ def _token_rows(batches: Iterator[pd.DataFrame], k: int, w: int) -> Iterator[pd.
 
 
 def _runs(batches: Iterator[pd.DataFrame], least: int) -> Iterator[pd.DataFrame]:
-    """Common runs along an alignment of two texts: text_a at i lies on text_b at i - shift."""
+    """Common runs along the alignments of two texts: text_a at i lies on text_b at i - shift."""
     for d in batches:
         out = []
-        for a, b, shift, x, y in zip(d["doc_a"], d["doc_b"], d["shift"], d["text_a"], d["text_b"], strict=True):
-            from_a = max(0, shift)
-            n = min(len(x) - from_a, len(y) - (from_a - shift))
-            if n < least:
-                continue
-            same = _codes(x[from_a : from_a + n]) == _codes(y[from_a - shift : from_a - shift + n])
-            edge = np.flatnonzero(np.diff(np.r_[False, same, False].astype(np.int8)))
-            for s, e in zip(edge[::2], edge[1::2], strict=True):
-                if e - s >= least:
-                    out.append((a, b, from_a + s, from_a + s - shift, e - s))
+        for a, b, ways, text_a, text_b in zip(d["doc_a"], d["doc_b"], d["ways"], d["text_a"], d["text_b"], strict=True):
+            x, y = _codes(text_a), _codes(text_b)
+            each = [(low + np.arange(n) * gap)[:, None] + np.arange(n2) * gap2 for low, gap, n, gap2, n2 in ways]
+            for shift in np.unique(np.concatenate([e.ravel() for e in each])).tolist():
+                from_a = max(0, shift)
+                n = min(len(x) - from_a, len(y) - (from_a - shift))
+                if n < least:
+                    continue
+                same = x[from_a : from_a + n] == y[from_a - shift : from_a - shift + n]
+                edge = np.flatnonzero(np.diff(np.r_[False, same, False].astype(np.int8)))
+                for s, e in zip(edge[::2], edge[1::2], strict=True):
+                    if e - s >= least:
+                        out.append((a, b, from_a + s, from_a + s - shift, e - s))
         yield pd.DataFrame(out, columns=["doc_a", "doc_b", "start_a", "start_b", "length"])
 
 
@@ -173,15 +181,20 @@ def shared_runs(texts: DataFrame, least: int = LEAST, gram: int = GRAM) -> DataF
     stages = Stages(texts.sparkSession, "spans")
     width = least - gram + 1
     long = texts.filter(F.length("text") >= least)
-    rows = stages.write(long.mapInPandas(partial(_token_rows, k=gram, w=width), "h long, doc long, pos int"), "tokens")
+    rows = stages.write(long.mapInPandas(partial(_token_rows, k=gram, w=width), "h long, doc long, pos int, gap int, n int"), "tokens")
     common = rows.groupBy("h").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).filter("a <> b").select("h")
     places = stages.write(rows.join(common, "h", "left_semi"), "places")
     stages.drop("tokens")
     links = compact(places, stages)
-    on_path = places.join(links, "h", "left").select(F.coalesce("first", "h").alias("path"), "doc", (F.col("pos") - F.coalesce("off", F.lit(0))).alias("start")).distinct()
+    on_path = places.join(links, "h", "left").select(F.coalesce("first", "h").alias("path"), "doc", (F.col("pos") - F.coalesce("off", F.lit(0))).alias("start"), "gap", "n").distinct()
     on_path = stages.write(on_path, "paths")
-    a, b = (on_path.select("path", F.col("doc").alias(f"doc_{x}"), F.col("start").alias(f"start_{x}")) for x in "ab")
-    pairs = a.join(b, "path").filter("doc_a < doc_b").select("doc_a", "doc_b", (F.col("start_a") - F.col("start_b")).alias("shift")).distinct()
+    a, b = (on_path.select("path", *[F.col(c).alias(f"{c}_{x}") for c in ("doc", "start", "gap", "n")]) for x in "ab")
+    # all differences of two chains: of one gap they are a chain again, else every token meets every token
+    both_ways = (F.col("n_a") > 1) & (F.col("n_b") > 1) & (F.col("gap_a") != F.col("gap_b"))
+    low = F.col("start_a") - F.col("start_b") - (F.col("n_b") - 1) * F.col("gap_b")
+    one = [F.greatest("gap_a", "gap_b"), F.col("n_a") + F.col("n_b") - 1, F.lit(0), F.lit(1)]
+    way = F.when(both_ways, F.array(*[c.cast("long") for c in (low, F.col("gap_a"), F.col("n_a"), F.col("gap_b"), F.col("n_b"))])).otherwise(F.array(*[c.cast("long") for c in (low, *one)]))
+    pairs = a.join(b, "path").filter("doc_a < doc_b").groupBy("doc_a", "doc_b").agg(F.collect_set(way).alias("ways"))
     pairs = stages.write(pairs, "pairs")
     named = pairs.select(F.explode(F.array("doc_a", "doc_b")).alias("doc")).distinct()
     held = stages.write(long.join(named, "doc", "left_semi").select("doc", "text"), "held")

@@ -37,6 +37,27 @@ def test_against_all_windows(spark, seed, alphabet):
     assert members.count() == len(texts)
 
 
+@pytest.mark.parametrize("period", [7, 19, 23])
+def test_phases_of_repeated_text(spark, period):
+    """Stretches of one period that begin and end at different phases, against all windows."""
+    rnd = random.Random(period)
+    loop = "".join(rnd.choice("abcdefgh") for _ in range(period)) * 20
+    size = lambda i: period * 8 if i % 2 else rnd.randint(48, 48 + period)
+    texts = []
+    for i in range(40):
+        at = rnd.randrange(period)
+        texts.append((i, chr(0x4E00 + i) * rnd.randint(1, 9) + loop[at : at + size(i)] + chr(0x5E00 + i) * rnd.randint(1, 9)))
+    runs, _ = shared_spans(spark.createDataFrame(texts, "doc_id long, text string"), "doc_id", "text", least=48, gram=24)
+    got, held = runs.collect(), {}
+    assert {(r.doc_a, r.doc_b) for r in got} == brute(texts, 48)
+    for r in got:
+        held.setdefault(r.doc_a, set()).update(range(r.start_a, r.start_a + r.length))
+        held.setdefault(r.doc_b, set()).update(range(r.start_b, r.start_b + r.length))
+    for i, t in texts:
+        grams = {u[k : k + 48] for j, u in texts if j != i for k in range(len(u) - 47)}
+        assert held.get(i, set()) == {p for k in range(len(t) - 47) if t[k : k + 48] in grams for p in range(k, k + 48)}
+
+
 def test_nulls_copies_and_empty(spark):
     rows = [(1, None), (2, ""), (3, "short"), (4, "z" * 500), (5, "z" * 500), (5, "z" * 500), (None, "z" * 500)]
     d = spark.createDataFrame(rows, "doc_id long, text string")
