@@ -219,13 +219,20 @@ def _anchors(read: DataFrame, stages: Stages) -> DataFrame:
     counts = read.groupBy("anchor").agg(F.sum(F.col("n") / F.col("choices")).alias("n"))
     keys = read.select("anchor", F.explode("initials").alias("i"), "shorter").distinct().select("anchor", "i", F.explode("shorter").alias("s")).distinct()
     keys = stages.write(keys.join(counts, "anchor"), "keys")
-    best = keys.groupBy("s", "i").agg(F.max(F.struct("n", "anchor")).alias("best"))
-    met = keys.join(best, ["s", "i"]).select("anchor", "n", F.col("best.anchor").alias("canon"), F.col("best.n").alias("m")).distinct()
+    # a bucket has the form and what one more letter makes of it, so the alphabet bounds it
+    other = keys.select("s", "i", F.col("anchor").alias("canon"), F.col("n").alias("m"))
+    met = keys.join(other, ["s", "i"]).filter(F.struct("m", "canon") > F.struct(F.col("n").alias("m"), F.col("anchor").alias("canon")))
+    met = met.select("anchor", "n", "canon", "m").distinct()
     letters = lambda c: F.array_sort(F.split(F.col(c), ""))
     d = F.levenshtein("anchor", "canon")
     slip = (d == 1) | ((d == 2) & (F.length("anchor") == F.length("canon")) & (letters("anchor") == letters("canon")))
-    met = met.filter(slip & ((F.col("m") >= 2 * F.col("n")) | (F.col("n") <= 2)))
-    to = stages.write(met.groupBy("anchor").agg(F.max(F.struct("m", "canon")).alias("x")).select("anchor", F.col("x.canon").alias("canon")), "to")
+    met = stages.write(met.filter(slip & ((F.col("m") >= 2 * F.col("n")) | (F.col("n") <= 2))), "met")
+    # of several spellings the one with most words in common, then the most frequent
+    said = read.select("anchor", F.explode(F.split("words", " ")).alias("word")).filter("word <> ''").distinct()
+    same = met.select("anchor", "canon").join(said, "anchor").join(said.select(F.col("anchor").alias("canon"), "word"), ["canon", "word"])
+    met = met.join(same.groupBy("anchor", "canon").agg(F.count("*").alias("same")), ["anchor", "canon"], "left")
+    to = met.groupBy("anchor").agg(F.max(F.struct(F.coalesce("same", F.lit(0)).alias("same"), "m", "canon")).alias("x"))
+    to = stages.write(to.select("anchor", F.col("x.canon").alias("canon")), "to")
     for i in range(2):  # a spelling may lead to one that itself leads on
         on = to.select(F.col("anchor").alias("canon"), F.col("canon").alias("far"))
         to = stages.write(to.join(on, "canon", "left").select("anchor", F.coalesce("far", "canon").alias("canon")), f"to{i}")

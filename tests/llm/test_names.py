@@ -34,3 +34,12 @@ def test_rows(spark):
     assert got == {(a, b) for a in (0, 1, 2, 3, 5) for b in (0, 1, 2, 3, 5) if a < b} - {(0, 5)}
     assert pairs(linked(d.limit(0), "party_id", "person", forms, False)).count() == 0
     assert linked(d, "party_id", "person", forms.limit(0), True).count() == 7
+
+
+def test_slips_beside_a_more_frequent_anchor(spark):
+    """biguniba is two slips from the most frequent anchor of its bucket, biuniba one."""
+    names = ["Suhendra Bikuniba"] * 3 + ["Suhendra Biguniba", "Suhendra Biuniba"] + ["Suryadi Biunibat"] * 10
+    d = spark.createDataFrame(list(enumerate(names)), "party_id long, person string")
+    forms = spark.createDataFrame([("given_name", "Hendra", "Suhendra")], "form_kind string, short_form string, full_form string")
+    got = {(r.key_a, r.key_b) for r in pairs(linked(d, "party_id", "person", forms, False)).collect()}
+    assert got == {(a, b) for a in range(5) for b in (3, 4) if a < b}
