@@ -57,7 +57,7 @@ def search_gate(spark, sf_dir):
 
 def keyword_scores(spark, sf_dir):
     d = keywords.scores(keywords.phrases(documents(spark, sf_dir), "doc_id", "text", STOP), "doc_id")
-    return d.filter(~F.col("phrase").rlike("[^ -~]")).select("doc_id", "phrase", F.round("score", 6).alias("score"))
+    return d.select("doc_id", "phrase", F.round("score", 6).alias("score"))
 
 
 def keyword_top(spark, sf_dir):

@@ -43,7 +43,7 @@ def normalize_rates(spark, sf_dir):
 
 def normalize_tokens(spark, sf_dir):
     d = documents(spark, sf_dir).select("doc_id", F.explode(tokens(F.col("text"), stopwords=False)).alias("token"))
-    return d.filter(F.col("token").rlike("^[a-z0-9.]+$")).groupBy("token").agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("n_docs"))
+    return d.groupBy("token").agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("n_docs"))
 
 
 def text_names(spark, sf_dir):

@@ -4,7 +4,7 @@ from datetime import datetime
 
 import pytest
 
-from lontar.plans import texts
+from lontar.plans import search, texts
 
 NODE = "document_key string, node_id string, parent_id string, depth int, node_type string, label string, label_normalized string, numbering_style string, title string, path array<string>, text_raw string, pages array<int>, reading_order int, sub_document string, extraction string, loaded_at timestamp"
 
@@ -30,3 +30,9 @@ def test_every_amount(spark, folder):
 def test_every_date(spark, folder):
     got = [(r.node_id, r.date, r.precision) for r in sorted(texts.normalize_dates(spark, folder).collect(), key=lambda r: r.position)]
     assert got == [("b", "2023-05-12", "day"), ("b", "2024-12-31", "day"), ("b", "2025-01-01", "day"), ("b", "2026", "year")]
+
+
+def test_words_of_any_script(spark, tmp_path):
+    spark.createDataFrame([(1, "Café utama, договор kerja_sama")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert {(r.token, r.n, r.n_docs) for r in texts.normalize_tokens(spark, str(tmp_path)).collect()} == {(t, 1, 1) for t in ("café", "utama", "договор", "kerja_sama")}
+    assert {r.phrase for r in search.keyword_scores(spark, str(tmp_path)).collect()} == {"café utama", "договор kerja sama"}
