@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lontar.llm.pieces import oversized, pieces
+from lontar.llm.pieces import oversized, pieces, rejoined
 
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,7 +22,12 @@ def p7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces(_texts(spark, sf_dir))
 
 
-QUERIES = {"p7_found": p7_found, "p7_pieces": p7_pieces}
+def p7_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts without white space, put together again from their pieces."""
+    return rejoined(pieces(_texts(spark, sf_dir))).distinct()
+
+
+QUERIES = {"p7_found": p7_found, "p7_pieces": p7_pieces, "p7_round_trip": p7_round_trip}
 
 SQL = {
     "p7_found": r"""
@@ -36,5 +41,10 @@ m AS (
     list_max(list_transform(regexp_split_to_array(regexp_replace(text, '([.;!?])[ \t\r\n]+', E'\\1\n', 'g'), '\n'), lambda x: length(trim(x, E' \t\r\n')))) AS sentence,
     list_max(list_transform(regexp_split_to_array(text, '[ \t\r\n]+'), lambda x: length(x))) AS space
   FROM t)
-SELECT item_table, item_key, CASE WHEN blank_line <= 1500 THEN 'blank_line' WHEN line <= 1500 THEN 'line' WHEN sentence <= 1500 THEN 'sentence' WHEN space <= 1500 THEN 'space' ELSE 'none' END AS boundary FROM m"""
+SELECT item_table, item_key, CASE WHEN blank_line <= 1500 THEN 'blank_line' WHEN line <= 1500 THEN 'line' WHEN sentence <= 1500 THEN 'sentence' WHEN space <= 1500 THEN 'space' ELSE 'none' END AS boundary FROM m""",
+    "p7_round_trip": r"""
+WITH t AS (
+  SELECT 'tree_nodes' AS item_table, document_key || '/' || node_id AS item_key, text_raw AS text FROM tree_nodes
+  UNION ALL SELECT 'source_clauses', clause_id, text FROM source_clauses)
+SELECT DISTINCT item_table, item_key, regexp_replace(text, '[ \t\r\n]+', '', 'g') AS letters, TRUE AS fits FROM t WHERE length(trim(text, E' \t\r\n')) > 0""",
 }
