@@ -14,6 +14,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _local: list[str] = []
 _bases: list[str] = []
@@ -32,18 +33,34 @@ def shared_folder(spark: SparkSession) -> str:
     return "file://" + _local[0]
 
 
+def sweep(spark: SparkSession) -> None:
+    """Delete all stages of this process, on any file system. Their results can't be read after that."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for base in list(_bases):
+        path = jvm.org.apache.hadoop.fs.Path(base)
+        path.getFileSystem(conf).delete(path, True)
+        _bases.remove(base)
+
+
 @atexit.register
-def _sweep() -> None:
+def _at_exit() -> None:
+    """Stages go with the driver: through Spark while it runs, which reaches any file system."""
+    spark = SparkSession.getActiveSession()
+    try:
+        if spark is not None and spark.sparkContext._jsc is not None:
+            sweep(spark)
+    except Exception:  # noqa: BLE001  the JVM may be gone; local folders are still cleared
+        pass
     for folder in (*_local, *(b.removeprefix("file://") for b in _bases if b.startswith(("/", "file://")))):
         shutil.rmtree(folder, ignore_errors=True)
 
 
-def sweep(spark: SparkSession) -> None:
-    """Delete all stages of this process, on any file system. Their results can't be read after that."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _bases:
-        path = jvm.org.apache.hadoop.fs.Path(_bases.pop())
-        path.getFileSystem(conf).delete(path, True)
+FEW = 10_000  # rows that may be broadcast
+
+
+def few(df: DataFrame, rows: int = FEW) -> DataFrame:
+    """``df`` marked for broadcast if it is counted to have at most ``rows`` rows, else as it is."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
 class Stages:
