@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lontar.llm.tokens import VOCABULARY, encode, encoding
-from lontar.stage import Stages
+from lontar.llm.tokens import VOCABULARY, encode, encoding, ship
+from lontar.stage import Stages, few
 
 REST = 32_768  # tokens that the knapsack fits exactly
 BUCKET = 50_000  # records of a length that are ordered at once
@@ -110,9 +110,10 @@ def mixture(docs: DataFrame, targets: DataFrame, total: int | None = None, seed:
     texts have no tokens and are never taken; null or negative shares and repeats count as 0;
     empty tables give empty results.
     """
+    ship(docs, vocabulary)
     stages = Stages(docs.sparkSession, "mixture")
     goal = targets.select("source", F.greatest(F.coalesce("target_share", F.lit(0.0)), F.lit(0.0)).alias("target_share"), F.greatest(F.coalesce("max_repeats", F.lit(0)), F.lit(0)).alias("max_repeats")).dropDuplicates(["source"])
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "text").join(F.broadcast(goal.select("source")), "source", "left_semi")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "text").join(few(goal.select("source")), "source", "left_semi")
     sized = stages.write(rows.select("doc_id", "source", "text").mapInArrow(partial(_sizes, vocabulary=vocabulary), SIZED), "sized")
     counted = sized.groupBy("source", "n_tokens").agg(F.count("*").alias("n_records"))
     per_source = counted.groupBy("source").agg(F.sum("n_records").alias("documents"), F.sum(F.col("n_tokens") * F.col("n_records")).alias("available"))
@@ -120,7 +121,7 @@ def mixture(docs: DataFrame, targets: DataFrame, total: int | None = None, seed:
     aims = goal.join(per_source, "source", "left").na.fill(0, ["documents", "available"]).withColumn("total", size)
     aims = aims.withColumn("budget", F.least(F.round(F.col("target_share") * F.col("total")).cast("long"), F.col("available") * F.col("max_repeats")))
     aims = stages.write(aims, "aims")
-    plan = counted.join(F.broadcast(aims.select("source", "budget", "max_repeats")), "source").groupBy("source").applyInPandas(_plan, PLAN)
+    plan = counted.join(few(aims.select("source", "budget", "max_repeats")), "source").groupBy("source").applyInPandas(_plan, PLAN)
     plan = stages.write(plan, "plan")
     marked = sized.withColumn("order", F.xxhash64(F.lit(seed), "doc_id")).join(plan, ["source", "n_tokens"])
     marked = marked.withColumn("bucket", F.pmod("order", F.ceil(F.col("n_records") / BUCKET).cast("long")))

@@ -12,19 +12,21 @@ window grows until such a border is found. Decoding concatenates up the same tre
 from __future__ import annotations
 
 import base64
+import os
 from collections.abc import Iterator
 from functools import cache, partial
 
 import pandas as pd
 import pyarrow as pa
 import regex
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""  # fixed value: pre-tokens of the vocabulary
-LEAF = 65_536  # characters encoded at once
-WINDOW = 256  # characters of the right part that a join looks at first
+LEAF = 512  # characters encoded at once
+WINDOW = 64  # characters of the right part that a join looks at first
 
 _pretoken = regex.compile(PATTERN)
 
@@ -33,11 +35,17 @@ _pretoken = regex.compile(PATTERN)
 def encoding(vocabulary: str):
     import tiktoken
 
-    with open(vocabulary, "rb") as f:
+    with open(vocabulary if os.path.exists(vocabulary) else SparkFiles.get(os.path.basename(vocabulary)), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     return tiktoken.Encoding("lontar", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def ship(df: DataFrame, vocabulary: str) -> None:
+    """Send the vocabulary to the executors that do not hold it at its path."""
+    if os.path.exists(vocabulary):
+        df.sparkSession.sparkContext.addFile(vocabulary)
+
+
 def _starts(text: str) -> list[int]:
     return [m.start() for m in _pretoken.finditer(text)]
 
@@ -125,12 +133,14 @@ def token_ids(df: DataFrame, key: str, text: str, vocabulary: str = VOCABULARY)
     """key bigint, ids array<int>: one row for each row of ``df``. Null, and empty texts have
     an empty list, text that spells a special token is ordinary text, null keys and repeated
     rows are kept as they are, an empty table gives an empty result."""
+    ship(df, vocabulary)
     rows = df.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(partial(_encode, vocabulary=vocabulary, count=False), "key long, ids array<int>")
 
 
 def token_counts(df: DataFrame, key: str, text: str, vocabulary: str = VOCABULARY) -> DataFrame:
     """key bigint, n_tokens bigint: the number of ids of each row."""
+    ship(df, vocabulary)
     rows = df.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(partial(_encode, vocabulary=vocabulary, count=True), "key long, n_tokens long")
 
@@ -143,4 +153,5 @@ def _decode(batches: Iterator[pd.DataFrame], vocabulary: str) -> Iterator[pd.Dat
 
 def token_texts(df: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """key bigint, text string of rows with key and ids."""
+    ship(df, vocabulary)
     return df.select("key", "ids").mapInPandas(partial(_decode, vocabulary=vocabulary), "key long, text string")

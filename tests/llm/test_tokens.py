@@ -33,3 +33,12 @@ def test_rows(spark):
     assert got == sorted([(1, []), (2, []), (3, coder.encode_ordinary("Pasal 1\n")), (3, coder.encode_ordinary("Pasal 1\n")), (None, coder.encode_ordinary("<|endoftext|>"))], key=str)
     assert max(K.token_counts(d, "doc_id", "text").toPandas()["n_tokens"]) > 1
     assert K.token_ids(d.limit(0), "doc_id", "text").count() == 0
+
+
+def test_ordinary_texts_go_through_the_tree():
+    """Production leaf and window: joins up the tree give the ids of the whole text."""
+    coder, rnd = K.encoding(K.VOCABULARY), random.Random(9)
+    words = ["Pasal", " 12", "\n\n", " pihak", "  ", " don't", ".", " 漢字", "\t", " the", " é"]
+    for _ in range(60):
+        text = "".join(rnd.choice(words) for _ in range(rnd.randint(600, 3000)))
+        assert len(text) > K.LEAF and K.encode(text, coder) == coder.encode_ordinary(text)
