@@ -72,10 +72,11 @@ class Stages:
         self.base = f"{shared_folder(spark)}/lontar-{label}-{uuid.uuid4().hex}"
         _bases.append(self.base)
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` and return the table read back with the same schema."""
+    def write(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        """Write ``df`` and return the table read back with the same schema; ``by`` names a column
+        of few values that has a folder for each, so that a filter on it reads no other."""
         path = f"{self.base}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        (df.write.partitionBy(by) if by else df.write).mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
