@@ -3,10 +3,12 @@
 Method. Every key gets a persistent ordinal: keys are range-partitioned, numbered inside
 their partition and shifted by the sizes of the partitions before, and keys of an earlier
 dictionary keep theirs. The keys present in one snapshot are a bitmap, compressed by blocks
-of ordinals: blocks without keys do not exist, and the bits of a block are one integer.
-AND-NOT of neighbouring bitmaps gives additions and removals; for the keys in both, the
-columns lie as vectors aligned by ordinal and are compared along them. A block is streamed
-snapshot by snapshot, so a task holds two snapshots of one block, whatever the table's size.
+of ordinals: blocks without keys do not exist, a block of few keys is their sorted positions
+and a fuller one its bits, whichever is smaller. AND-NOT of neighbouring bitmaps gives
+additions and removals; the columns of a snapshot's block stay Arrow vectors in the order of
+their ordinals, and for the keys in both snapshots they are aligned by ordinal and compared
+vector by vector. A block is streamed snapshot by snapshot, so a task holds two snapshots of
+one block, whatever the table's size.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -27,20 +30,43 @@ SPAN = 4096  # ordinals of a block
 KEYS_PER_PART = 200_000
 
 
-def bits(positions: list[int]) -> int:
-    """A block's bitmap as one integer."""
-    flat = bytearray(SPAN // 8)
-    for p in positions:
-        flat[p >> 3] |= 1 << (p & 7)
-    return int.from_bytes(flat, "little")
+class Bitmap:
+    """The set positions of a block of SPAN ordinals: sorted 16-bit positions while they take less
+    room than the bits, else the bits."""
 
+    __slots__ = ("held", "packed")
 
-def positions(bitmap: int) -> Iterator[int]:
-    """Positions of the bits that are set, in order."""
-    while bitmap:
-        low = bitmap & -bitmap
-        yield low.bit_length() - 1
-        bitmap ^= low
+    def __init__(self, held: np.ndarray, packed: bool):
+        self.held, self.packed = held, packed
+
+    @classmethod
+    def of(cls, positions: np.ndarray) -> Bitmap:
+        """From sorted distinct positions."""
+        if 2 * len(positions) < SPAN // 8:
+            return cls(positions.astype(np.uint16), False)
+        flat = np.zeros(SPAN, bool)
+        flat[positions] = True
+        return cls(np.packbits(flat), True)
+
+    def positions(self) -> np.ndarray:
+        return np.flatnonzero(np.unpackbits(self.held)) if self.packed else self.held.astype(np.int64)
+
+    def _meet(self, other: Bitmap, inside: bool) -> Bitmap:
+        if self.packed and other.packed:
+            return Bitmap(self.held & (other.held if inside else ~other.held), True)
+        mine = self.positions()
+        if other.packed:
+            has = (other.held[mine >> 3] >> (7 - (mine & 7)).astype(np.uint8)) & 1 == 1
+        else:
+            has = np.isin(mine, other.held, assume_unique=True)
+        return Bitmap.of(mine[has == inside])
+
+    def __and__(self, other: Bitmap) -> Bitmap:
+        return self._meet(other, True)
+
+    def without(self, other: Bitmap) -> Bitmap:
+        """AND-NOT."""
+        return self._meet(other, False)
 
 
 def as_set(array: Column) -> Column:
@@ -62,7 +88,8 @@ def ordinals(keys: DataFrame, names: list[str], stages: Stages, known: DataFrame
     if known is not None:
         on = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in names]
         keys = keys.alias("a").join(known.alias("b"), on, "left_anti")
-        start = (known.agg(F.max("ordinal")).first()[0] or -1) + 1
+        most = known.agg(F.max("ordinal")).first()[0]
+        start = 0 if most is None else most + 1
     parts = max(1, -(-keys.count() // KEYS_PER_PART))
     kinds = dict(keys.dtypes)
     ranged = keys.repartitionByRange(parts, *names).sortWithinPartitions(*names).withColumn("part", F.spark_partition_id())
@@ -74,76 +101,116 @@ def ordinals(keys: DataFrame, names: list[str], stages: Stages, known: DataFrame
 
 
 class _Block:
-    """One snapshot of one block of ordinals: its bitmap, and its columns aligned by ordinal."""
+    """One snapshot of one block of ordinals: its bitmap, and its column vectors in their order."""
 
-    __slots__ = ("where", "no", "prev", "next", "base", "rows", "keys")
+    __slots__ = ("where", "no", "prev", "next", "keys", "at", "columns")
 
-    def __init__(self, where: tuple, no: int, prev: int | None, nxt: int | None):
+    def __init__(self, where: tuple, no: int, prev: int | None, nxt: int | None, rows: pa.Table, fields: list[str]):
         self.where, self.no, self.prev, self.next = where, no, prev, nxt
-        self.base = where[0] * SPAN
-        self.rows: dict[int, tuple] = {}
-        self.keys = 0
+        at = rows.column("ordinal").to_numpy() - where[0] * SPAN
+        first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])  # of equal ordinals the first, which is the latest
+        if len(first) < len(at):
+            rows = rows.take(pa.array(first))
+        self.at = at[first]
+        self.keys = Bitmap.of(self.at)
+        self.columns = [rows.column(f).combine_chunks() for f in fields]
+
+
+def _differ(x: pa.Array, y: pa.Array) -> np.ndarray:
+    """Where two vectors differ; null differs from every value."""
+    unequal = pc.fill_null(pc.not_equal(x, y), False)
+    return pc.or_(unequal, pc.xor(pc.is_null(x), pc.is_null(y))).to_numpy(zero_copy_only=False)
 
-    def closed(self) -> _Block:
-        self.keys = bits(list(self.rows))
-        return self
 
+Found = tuple[str | None, int, np.ndarray, str, list]
 
-def _changes(a: _Block | None, b: _Block | None, no: int, fields: list[str], out: list[tuple]) -> None:
-    before, after = a.keys if a else 0, b.keys if b else 0
+
+def _changes(a: _Block | None, b: _Block | None, no: int, fields: list[str]) -> Iterator[Found]:
+    """(entity, number, ordinals, change, names of the fields of each) between two snapshots of a block."""
     block = a or b
-    base, entity = block.base, block.where[1]
-    out.extend((entity, no, base + p, "removed", None) for p in positions(before & ~after))
-    out.extend((entity, no, base + p, "added", None) for p in positions(after & ~before))
-    for p in positions(before & after):
-        x, y = a.rows[p], b.rows[p]
-        if x != y:
-            out.append((entity, no, base + p, "changed", [f for f, v, u in zip(fields, x, y, strict=True) if v != u]))
+    base, entity = block.where[0] * SPAN, block.where[1]
+    none = Bitmap.of(np.zeros(0, np.int64))
+    before, after = a.keys if a else none, b.keys if b else none
+    for change, bitmap in (("removed", before.without(after)), ("added", after.without(before))):
+        at = bitmap.positions()
+        if len(at):
+            yield entity, no, base + at, change, [None] * len(at)
+    both = (before & after).positions()
+    if not len(both):
+        return
+    i, j = pa.array(np.searchsorted(a.at, both)), pa.array(np.searchsorted(b.at, both))
+    differ = np.stack([_differ(x.take(i), y.take(j)) for x, y in zip(a.columns, b.columns, strict=True)])
+    which = np.flatnonzero(differ.any(axis=0))
+    if len(which):
+        yield entity, no, base + both[which], "changed", [[f for f, d in zip(fields, differ[:, k], strict=True) if d] for k in which]
+
+
+def _batch(found: list[Found]) -> pa.RecordBatch:
+    size = [len(x[2]) for x in found]
+    spread = lambda k, kind: pa.array([x[k] for x in found], kind).take(pa.array(np.repeat(np.arange(len(found)), size)))
+    ordinal = np.concatenate([x[2] for x in found]) if found else np.zeros(0, np.int64)
+    named = pa.array([f for x in found for f in x[4]], pa.list_(pa.string()))
+    return pa.RecordBatch.from_arrays([spread(0, pa.string()), spread(1, pa.int64()), pa.array(ordinal, pa.int64()), spread(3, pa.string()), named], names=["entity", "no", "ordinal", "change", "fields"])
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.Table]]:
+    """Stretches of rows of one (block, entity, snapshot); one that reaches over batches is joined."""
+    open_: list[pa.Table] = []
+    key: tuple | None = None
+    for d in batches:
+        if not d.num_rows:
+            continue
+        t = pa.Table.from_batches([d])
+        block, no = t.column("block").to_numpy(), t.column("no").to_numpy()
+        entity = t.column("entity").combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+        starts = np.flatnonzero(np.r_[True, (block[1:] != block[:-1]) | (no[1:] != no[:-1]) | (entity[1:] != entity[:-1])])
+        for s, e in zip(starts, [*starts[1:], t.num_rows], strict=True):
+            part = t.slice(s, e - s)
+            first = tuple(part.column(c)[0].as_py() for c in ("block", "entity", "no", "prev", "next"))
+            if key is not None and first != key:
+                yield key, pa.concat_tables(open_)
+                open_ = []
+            key = first
+            open_.append(part)
+    if key is not None:
+        yield key, pa.concat_tables(open_)
 
 
 def _stream(batches: Iterator[pa.RecordBatch], fields: list[str]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (block, entity, snapshot, ordinal)."""
-    old: _Block | None = None
-    new: _Block | None = None
-    out: list[tuple] = []
     names = [f[2:] for f in fields]
-
-    def close() -> None:
-        nonlocal old, new
-        if new is not None:
-            new.closed()
-        follows = old is not None and new is not None and old.where == new.where
-        if follows and old.next == new.no:
-            _changes(old, new, new.no, names, out)
-        else:
+    old: _Block | None = None
+    found: list[Found] = []
+    for (block, entity, no, prev, nxt), rows in _groups(batches):
+        new = _Block((block, entity), no, prev, nxt, rows, fields)
+        if old is not None and old.where == new.where and old.next == no:
+            found.extend(_changes(old, new, no, names))
+        else:  # the keys of a block may all be missing from a snapshot
             if old is not None and old.next is not None:
-                _changes(old, None, old.next, names, out)
-            if new is not None and new.prev is not None:
-                _changes(None, new, new.no, names, out)
-        old, new = new, None
-
-    def made() -> pa.RecordBatch:
-        columns = list(zip(*out, strict=True)) if out else [[]] * 5
-        types = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.string()))
-        batch = pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names=["entity", "no", "ordinal", "change", "fields"])
-        out.clear()
-        return batch
-
-    for d in batches:
-        lists = [d.column(c).to_pylist() for c in ("block", "entity", "no", "prev", "next", "ordinal")]
-        values = zip(*[d.column(f).to_pylist() for f in fields], strict=True)
-        for (block, entity, no, prev, nxt, ordinal), row in zip(zip(*lists, strict=True), values, strict=True):
-            if new is None or new.no != no or new.where != (block, entity):
-                if new is not None:
-                    close()
-                new = _Block((block, entity), no, prev, nxt)
-            new.rows.setdefault(ordinal - new.base, row)
-        yield made()
-    if new is not None:
-        close()
-    if old is not None:
-        close()
-    yield made()
+                found.extend(_changes(old, None, old.next, names))
+            if prev is not None:
+                found.extend(_changes(None, new, no, names))
+        old = new
+        if sum(len(x[2]) for x in found[-1000:]) > 10_000 or len(found) > 1000:
+            yield _batch(found)
+            found = []
+    if old is not None and old.next is not None:
+        found.extend(_changes(old, None, old.next, names))
+    yield _batch(found)
+
+
+def _keyed(df: DataFrame, entity: str, number: str, key: dict[str, Column]) -> tuple[DataFrame, list[str]]:
+    on = ["entity", *[f"k_{n}" for n in key]]
+    rows = df.filter(F.col(number).isNotNull()).select(F.col(entity).cast("string").alias("entity"), *[c.cast("string").alias(f"k_{n}") for n, c in key.items()])
+    return rows.select(on).distinct(), on
+
+
+def key_ordinals(df: DataFrame, entity: str, number: str, key: dict[str, Column], known: DataFrame | None = None) -> DataFrame:
+    """The dictionary of the keys of ``df``: entity, a column k_NAME for each key, ordinal. Stored
+    and given as ``known`` it keeps the ordinals of its keys when later snapshots come."""
+    keys, on = _keyed(df, entity, number, key)
+    stages = Stages(df.sparkSession, "ordinals")
+    return stages.write(ordinals(keys, on, stages, known), "dictionary")
 
 
 def snapshot_changes(df: DataFrame, entity: str, number: str, key: dict[str, Column], fields: dict[str, Column], at: str, known: DataFrame | None = None) -> DataFrame:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from lontar.operators.snapshots import as_set, snapshot_changes
+from lontar.operators.snapshots import as_set, key_ordinals, snapshot_changes
 
 # The compared fields, and those that count as a change of structure.
 PLAIN = ["parent_path", "depth", "node_type", "numbering_style", "label_normalized", "sub_document", "pages", "title", "text_sha"]
@@ -13,12 +14,22 @@ SETS = ["flags", "refs_out"]
 STRUCTURE = ["parent_path", "depth"]
 
 
-def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.read.parquet(f"{sf_dir}/snapshot_nodes.parquet")
+def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/snapshot_nodes.parquet")
+
+
+def _key() -> dict:
     path = F.coalesce("path", F.lit(""))
-    heading = F.when(path == "", F.coalesce("title", F.lit(""))).otherwise("")
+    return {"path": path, "heading": F.when(path == "", F.coalesce("title", F.lit(""))).otherwise("")}
+
+
+def _compare(rows: DataFrame, known: DataFrame | None = None) -> DataFrame:
     fields = {c: F.to_json(c) if c == "pages" else F.col(c) for c in PLAIN} | {c: as_set(F.col(c)) for c in SETS}
-    return snapshot_changes(rows, "specimen", "snapshot_no", {"path": path, "heading": heading}, fields, "received_at")
+    return snapshot_changes(rows, "specimen", "snapshot_no", _key(), fields, "received_at", known)
+
+
+def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _compare(_rows(spark, sf_dir))
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +42,18 @@ def p6_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(F.col("entity").alias("specimen"), F.col("no").cast("int").alias("snapshot_no"), "path", "heading", F.explode("fields").alias("field"))
 
 
+def p6_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of the latest snapshot of every specimen, as when it comes in: the keys of the
+    snapshots before keep the ordinals of their stored dictionary."""
+    rows = _rows(spark, sf_dir)
+    w = Window.partitionBy("specimen").orderBy(F.desc("snapshot_no"))
+    age = rows.select("specimen", "snapshot_no").filter("snapshot_no is not null").distinct().withColumn("age", F.row_number().over(w))
+    of = lambda which: rows.alias("r").join(age.filter(which).alias("a"), F.col("r.specimen").eqNullSafe(F.col("a.specimen")) & (F.col("r.snapshot_no") == F.col("a.snapshot_no")), "left_semi")
+    known = key_ordinals(of("age > 1"), "specimen", "snapshot_no", _key())
+    d = _compare(of("age < 3"), known)
+    return d.select(F.col("entity").alias("specimen"), F.col("no").cast("int").alias("snapshot_no"), "path", "heading", "change")
+
+
 def p6_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes of structure (nodes added or removed, parents or depths that differ) beside the reported count."""
     d = _changes(spark, sf_dir)
@@ -42,7 +65,7 @@ def p6_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("entry_no", "specimen", "snapshot_no", F.col("reported_structure").cast("long").alias("reported_structure"), "found_structure", (F.col("reported_structure") == F.col("found_structure")).alias("agrees"))
 
 
-QUERIES = {"p6_found": p6_found, "p6_fields": p6_fields, "p6_changelog": p6_changelog}
+QUERIES = {"p6_found": p6_found, "p6_fields": p6_fields, "p6_latest": p6_latest, "p6_changelog": p6_changelog}
 
 _PAIRS = """
 WITH r AS (
@@ -64,6 +87,8 @@ UNION ALL SELECT specimen, no, path, heading, 'removed' FROM a ANTI JOIN b USING
 SQL = {
     "p6_fields": f"{_PAIRS} {_FIELDS}",
     "p6_found": f"{_PAIRS}, f AS ({_FIELDS}) {_ONE_SIDED} UNION ALL SELECT DISTINCT specimen, snapshot_no, path, heading, 'changed' FROM f",
+    "p6_latest": f"""{_PAIRS}, f AS ({_FIELDS}), c AS ({_ONE_SIDED} UNION ALL SELECT DISTINCT specimen, snapshot_no, path, heading, 'changed' FROM f)
+SELECT c.* FROM c WHERE snapshot_no = (SELECT max(s.snapshot_no) FROM s WHERE s.specimen = c.specimen)""",
     "p6_changelog": f"""{_PAIRS}, f AS ({_FIELDS}), o AS ({_ONE_SIDED}),
 c AS (SELECT specimen, snapshot_no, count(*) AS n FROM (SELECT specimen, snapshot_no FROM o UNION ALL SELECT specimen, snapshot_no FROM f WHERE field IN ('parent_path', 'depth')) GROUP BY ALL),
 t AS (SELECT DISTINCT entry_no, snapshot_no, x.specimen AS specimen, coalesce(x.changes.structure, 0)::BIGINT AS reported_structure FROM (SELECT entry_no, snapshot_no, unnest(specimens) AS x FROM changelog))

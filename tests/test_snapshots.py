@@ -1,8 +1,10 @@
 import random
 
+import numpy as np
+
 from pyspark.sql import functions as F
 
-from lontar.operators.snapshots import as_set, bits, ordinals, positions, snapshot_changes
+from lontar.operators.snapshots import Bitmap, as_set, key_ordinals, ordinals, snapshot_changes
 from lontar.stage import Stages
 
 SCHEMA = "ent string, no int, path string, v int, flags array<string>, at int, change string"
@@ -15,9 +17,14 @@ def changes(df):
 
 def test_bitmaps():
     rnd = random.Random(1)
-    for n in (0, 1, 300, 4096):
-        at = sorted(rnd.sample(range(4096), n))
-        assert list(positions(bits(at))) == at
+    sets = [sorted(rnd.sample(range(4096), n)) for n in (0, 1, 200, 300, 2000, 4096)]
+    for x in sets:
+        a = Bitmap.of(np.array(x, np.int64))
+        assert a.positions().tolist() == x and a.held.nbytes <= min(512, 2 * len(x) + 1) or a.packed
+        for y in sets:
+            b = Bitmap.of(np.array(y, np.int64))
+            assert (a & b).positions().tolist() == sorted(set(x) & set(y))
+            assert a.without(b).positions().tolist() == sorted(set(x) - set(y))
 
 
 def test_against_comparing_tables(spark):
@@ -60,3 +67,20 @@ def test_ordinals_persist(spark):
     again = ordinals(keys.union(spark.createDataFrame([("0",)], "k string")), ["k"], Stages(spark, "t"), first)
     old, new = ({r.k: r.ordinal for r in d.collect()} for d in (first, again))
     assert sorted(old.values()) == [0, 1, 2] and new == {**old, "0": 3}
+
+
+def test_ordinals_follow_a_dictionary_of_one(spark):
+    first = spark.createDataFrame([("a", 0)], "k string, ordinal long")
+    again = ordinals(spark.createDataFrame([("b",), ("a",)], "k string"), ["k"], Stages(spark, "t"), first)
+    assert {r.k: r.ordinal for r in again.collect()} == {"a": 0, "b": 1}
+
+
+def test_changes_with_a_stored_dictionary(spark):
+    rows = [("e", 1, "a", 1, None, 0, "x"), ("e", 1, "b", 1, None, 0, "x"), ("e", 2, "b", 2, None, 0, "x"), ("e", 2, "0", 1, None, 0, "x")]
+    df, key = spark.createDataFrame(rows, SCHEMA), {"path": F.col("path")}
+    known = key_ordinals(df.filter("no = 1"), "ent", "no", key)
+    old = {r.k_path: r.ordinal for r in known.collect()}
+    new = {r.k_path: r.ordinal for r in key_ordinals(df, "ent", "no", key, known).collect()}
+    assert {k: new[k] for k in old} == old and sorted(new.values()) == [0, 1, 2]
+    found = snapshot_changes(df, "ent", "no", key, {"v": F.col("v")}, "at", known)
+    assert {(r.path, r.change) for r in found.collect()} == {("a", "removed"), ("b", "changed"), ("0", "added")}
