@@ -34,8 +34,9 @@ BLOCK = 40_000  # rows of a block; what one task holds in memory
 PEEL_ROUNDS = 12  # join rounds of peeling before pointer doubling settles the rest
 SHIFT = 1 << 32
 
-OUT = "grp string, node string, parent string, label string, stored_depth int, stored_path string, status string, root string, depth int, path_key string, path array<string>, entry long, exit long"
-LINKED = "vid long, lpar long, ext string, grp string, node string, parent string, label string, stored_depth int, stored_path string, closed boolean, status string, root string, depth int, path_key string, path array<string>, entry long, exit long"
+OUT = "grp string, node string, parent string, label string, stored_depth int, stored_path string, status string, root string, depth int, path array<string>, path_ok boolean, entry long, exit long"
+LINKED = "vid long, lpar long, ext string, grp string, node string, parent string, label string, stored_depth int, stored_path string, closed boolean, status string, root string, depth int, path array<string>, path_ok boolean, entry long, exit long"
+SLICE = 200_000  # path elements given out at once
 PAIRS = "grp string, ancestor string, descendant string, distance int"
 
 
@@ -133,7 +134,7 @@ def _blocks(batches: Iterator[pd.DataFrame], mode: str) -> Iterator[pd.DataFrame
     opened["lpar"] = pd.array(np.where(par[~closed] >= 0, base + par[~closed], 0), dtype="Int64")
     opened.loc[par[~closed] < 0, "lpar"] = pd.NA
     opened["ext"] = [p if q == -2 else None for p, q in zip([named[i] for i in np.flatnonzero(~closed)], par[~closed], strict=True)]
-    for c in ("status", "root", "path_key", "path"):
+    for c in ("status", "root", "path", "path_ok"):
         opened[c] = None
     for c in ("depth", "entry", "exit"):
         opened[c] = pd.array([pd.NA] * len(opened), dtype="Int64")
@@ -158,33 +159,64 @@ def _blocks(batches: Iterator[pd.DataFrame], mode: str) -> Iterator[pd.DataFrame
     done["lpar"], done["ext"] = pd.array([pd.NA] * len(at), dtype="Int64"), None
     done["cls"] = np.where(cycle, "cycle", np.where(orphan, "orphan", "root"))
     done["depth"], done["tree"] = -weight[2 * own], root
-    out = _walk(done.iloc[np.lexsort((done["entry"].to_numpy(), root))], [], mode == "nodes")
-    yield (out[_faulty(out)] if mode == "found" else out)[cols]
+    for out in _walk(done.iloc[np.lexsort((done["entry"].to_numpy(), root))], [], mode == "nodes"):
+        yield (out[_faulty(out)] if mode == "found" else out)[cols]
 
 
-def _walk(d: pd.DataFrame, stack: list[tuple], listed: bool) -> pd.DataFrame:
+def _piece(label: str | None) -> str:
+    """What a label adds to the key of a path, as in :func:`path_key`."""
+    return "" if label is None else f"{len(label)}:{label}"
+
+
+def _walk(d: pd.DataFrame, stack: list[tuple], listed: bool) -> Iterator[pd.DataFrame]:
     """Nodes in order of (tree, entry): the open intervals are the ancestors. ``stack`` has
-    (tree, exit, node, key, path, class) of those still open and is carried on."""
-    keys, paths, status, roots = [], [], [], []
-    for tree, entry, exit_, node, label, cls in zip(d["tree"], d["entry"], d["exit"], d["node"], d["label"], d["cls"], strict=True):
+    (tree, exit, node, label, class, stored path if it is the true one) of those still open and is
+    carried on. A stored path is compared with the nearest true one above and the labels below
+    that, so no path is built where the stored ones are right; with ``listed`` the paths are given
+    out, in slices of bounded size."""
+    status, roots, paths, right, begun, held = [], [], [], [], 0, 0
+
+    def made(end: int) -> pd.DataFrame:
+        part = d.iloc[begun:end]
+        return part.assign(status=status, root=roots, path=pd.Series(paths, index=part.index, dtype=object), path_ok=pd.Series(right, index=part.index, dtype=object))
+
+    names = ("tree", "entry", "exit", "node", "label", "cls", "stored_path")
+    for at, (tree, entry, exit_, node, label, cls, stored) in enumerate(zip(*[d[c] for c in names], strict=True)):
         while stack and (stack[-1][0] != tree or stack[-1][1] < entry):
             stack.pop()
-        top = stack[-1] if stack else None
-        key = (top[3] if top else "") + ("" if label is None else f"{len(label)}:{label}")
-        path = ((top[4] if top else []) + ([] if label is None else [label])) if listed else None
-        kind = top[5] if top else cls
-        status.append("ok" if kind == "root" else f"below_{kind}" if top else kind)
-        keys.append(key)
-        paths.append(path)
+        kind = stack[-1][4] if stack else cls
+        status.append("ok" if kind == "root" else f"below_{kind}" if stack else kind)
         roots.append(stack[0][2] if stack else node)
-        stack.append((tree, exit_, node, key, path, kind))
-    return d.assign(status=status, root=roots, path_key=keys, path=pd.Series(paths, index=d.index, dtype=object))
+        if isinstance(stored, str):
+            end, k = len(stored), len(stack)
+            piece = _piece(label)
+            ok = stored.endswith(piece)
+            end -= len(piece)
+            while ok and k and stack[k - 1][5] is None:
+                k -= 1
+                piece = _piece(stack[k][3])
+                ok = stored.endswith(piece, 0, max(end, 0)) and end >= len(piece)
+                end -= len(piece)
+            known = stack[k - 1][5] if k else ""
+            ok = ok and end == len(known) and stored.startswith(known)
+        else:
+            ok = None
+        right.append(ok)
+        stack.append((tree, exit_, node, label, kind, stored if ok else None))
+        path = [x[3] for x in stack if x[3] is not None] if listed else None
+        paths.append(path)
+        held += len(path) if path else 0
+        if held > SLICE:
+            yield made(at + 1)
+            status, roots, paths, right, begun, held = [], [], [], [], at + 1, 0
+    if begun < len(d):
+        yield made(len(d))
 
 
 def _faulty(d: pd.DataFrame) -> pd.Series:
     """Rows with a broken link, or whose stored depth or path is not the true one."""
     depth = d["stored_depth"].notna() & (d["stored_depth"].fillna(-1).astype("int64") != d["depth"].astype("int64"))
-    path = d["stored_path"].notna() & (d["stored_path"] != d["path_key"])
+    path = np.array([x is False for x in d["path_ok"]], bool)
     return (d["status"] != "ok") | depth | path
 
 
@@ -309,8 +341,9 @@ def _chunks(batches: Iterator[pd.DataFrame], mode: str) -> Iterator[pd.DataFrame
     stack: list[tuple] = []
     for d in batches:
         d = d.assign(tree=list(zip(d["tree"], d["chunk"], strict=True)))  # another chunk starts with its own openers
-        out = _walk(d, stack, mode == "nodes")[d["own"].to_numpy()]
-        yield (out[_faulty(out)] if mode == "found" else out)[[c.split()[0] for c in OUT.split(", ")]]
+        for out in _walk(d, stack, mode == "nodes"):
+            out = out[out["own"]]
+            yield (out[_faulty(out)] if mode == "found" else out)[[c.split()[0] for c in OUT.split(", ")]]
 
 
 def _across_blocks(opened: DataFrame, stages: Stages, block: int, mode: str) -> DataFrame:
@@ -325,10 +358,12 @@ def _across_blocks(opened: DataFrame, stages: Stages, block: int, mode: str) ->
     cycle = stages.write(_cycles(left, stages, block), "cycle")
     rows = stages.write(
         rows.join(cycle.withColumn("cyc", F.lit(True)), "vid", "left").select("vid", "blk", F.when(F.col("cyc").isNull(), F.col("par")).alias("par"), F.when(F.col("cyc"), "cycle").when(F.col("orphan"), "orphan").otherwise("root").alias("cls")), "cut")
-    # children of a parent that has children in other blocks: a run of them for each block
-    abroad = rows.filter(F.shiftright("par", 32) != F.col("blk")).select("par").distinct()
-    runs = rows.join(abroad, "par", "left_semi").groupBy("par", "blk").agg(F.min("vid").alias("first"), F.max("vid").alias("final"))
-    w = Window.partitionBy("par").orderBy("blk")
+    # children of a parent that has children in other blocks: a run of them for each block; counted
+    # together first, so a parent of very many children is a row for each block
+    runs = rows.filter("par is not null").groupBy("par", "blk").agg(F.min("vid").alias("first"), F.max("vid").alias("final"))
+    every = Window.partitionBy("par")
+    runs = runs.withColumn("abroad", F.max(F.shiftright("par", 32) != F.col("blk")).over(every)).filter("abroad")
+    w = every.orderBy("blk")
     runs = runs.withColumns({"after": F.lead("first").over(w), "k": F.row_number().over(w)})
     over = runs.select((F.col("final") * 2 + 1).alias("gid"), F.coalesce(F.col("after") * 2, F.col("par") * 2 + 1).alias("to"))
     over = over.unionByName(runs.filter("k = 1").select((F.col("par") * 2).alias("gid"), (F.col("first") * 2).alias("to")))
@@ -361,9 +396,10 @@ def hierarchy(df: DataFrame, group: str, node: str, parent: str, label: str, *,
 
     mode "nodes": one row per node: grp, node, parent, label, stored_depth, stored_path (as
     :func:`path_key`), status (ok, cycle, below_cycle, orphan, below_orphan), root, depth,
-    path_key, path, entry, exit; depth and path of nodes that are not ok count from the
-    cycle or orphan above them. A node a has the descendants d of the same root with
-    a.entry < d.entry < a.exit. mode "found": the same columns, only rows that have a fault.
+    path, path_ok (whether the stored path is the true one, null without a stored one), entry,
+    exit; depth and path of nodes that are not ok count from the cycle or orphan above them. A
+    node a has the descendants d of the same root with a.entry < d.entry < a.exit. mode "found":
+    the same columns, path null, only rows that have a fault.
     """
     spark = df.sparkSession
     stages = Stages(spark, "hierarchy")

@@ -20,7 +20,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(
             F.when(~ok, F.col("status")),
             F.when(ok & (F.col("stored_depth") != F.col("depth")), "wrong_depth"),
-            F.when(ok & (F.col("stored_path") != F.col("path_key")), "wrong_path"),
+            F.when(ok & ~F.col("path_ok"), "wrong_path"),
         )
     )
     return h.select(F.col("grp").alias("document_key"), F.col("node").alias("node_id"), F.explode(faults).alias("fault"))

@@ -90,3 +90,31 @@ def test_nulls_empty_and_repeated_rows(spark):
         found = hierarchy(df, "doc", "node", "parent", "label", depth="depth", path="path", at="at", mode="found", block=block).collect()
         assert [(r.grp, r.node) for r in found] == [("", "a")]
     assert hierarchy(spark.createDataFrame([], SCHEMA), "doc", "node", "parent", "label").count() == 0
+
+
+def test_stored_paths_against_true_ones(spark):
+    """Right, wrong and missing stored paths in every order, keys that hide a shorter path included."""
+    rnd = random.Random(11)
+    rows = [r for r in forest(4, 25, 40, 60)]
+    true = {k: v for k, v in brute(rows).items()}
+    for r in rows:
+        path = true[r[0], r[1]][3]
+        how = rnd.random()
+        if path is not None and how < 0.8:
+            r[5] = path if how < 0.5 else [*path, "a"] if how < 0.6 else path[1:] if how < 0.7 else ["1:a", *path]
+    for block in (40_000, 70):
+        found = hierarchy(spark.createDataFrame(rows, SCHEMA), "doc", "node", "parent", "label", path="path", mode="found", block=block).collect()
+        wrong = {(r.grp, r.node) for r in found if r.status == "ok" and r.path_ok is False}
+        assert wrong == {(r[0], r[1]) for r in rows if true[r[0], r[1]][0] == "ok" and r[5] is not None and r[5] != true[r[0], r[1]][3]}
+
+
+def test_paths_of_a_deep_chain_come_in_slices(monkeypatch):
+    import pandas as pd
+
+    from lontar.operators import hierarchy as H
+
+    n = 3000
+    d = pd.DataFrame({"tree": 0, "entry": range(n), "exit": range(2 * n, n, -1), "node": [f"k{i}" for i in range(n)], "label": "x", "cls": "root", "stored_path": ["1:x" * (i + 1) for i in range(n)]})
+    parts = list(H._walk(d, [], True))
+    assert max(sum(map(len, p["path"])) for p in parts) <= H.SLICE + n and pd.concat(parts)["path_ok"].all()
+    assert [len(x) for p in parts for x in p["path"]] == list(range(1, n + 1))
