@@ -46,11 +46,12 @@ FLAGS = ["template_placeholder", "placeholder_unfilled", "filler_text", "error_p
 COVERED = 0.6  # least covered part of a text's letters
 COVERED_SENTENCE = 0.8  # the same of one sentence
 
-_BRACKETS = {"{{": re.compile(r"\{\{\s*[^{}]{1,80}\}\}"), "${": re.compile(r"\$\{\s*[^{}]{1,80}\}"), "«": re.compile(r"«\s*[^«»]{1,80}»"), "%": re.compile(r"%[a-z][a-z0-9_]{1,60}%"), "<": re.compile(r"<{1,2}\s*([a-z][a-z0-9_ \n-]{0,60})\s*>{1,2}"), "[": re.compile(r"\[([^\[\]]{0,80})\]"), "(": re.compile(r"\(([^()]{0,80})\)")}
+_BRACKETS = {"{{": re.compile(r"\{\{[^{}]+\}\}"), "${": re.compile(r"\$\{[^{}]+\}"), "«": re.compile(r"«[^«».;!?]+»"), "%": re.compile(r"%[a-z][a-z0-9_]+%"), "<": re.compile(r"<{1,2}\s*([a-z][a-z0-9_ \n-]*)>{1,2}"), "[": re.compile(r"\[([^\[\]]*)\]"), "(": re.compile(r"\(([^()]*)\)")}
 _CUT = {"{{": re.compile(r"\{\{[^{}]*$"), "${": re.compile(r"\$\{[^{}]*$"), "«": re.compile(r"«[^«»]*$"), "<": re.compile(r"<{1,2}[a-z][a-z0-9_ ]*$"), "(": re.compile(r"\((?:belum )?diisi\b[^()]*$"), "[": re.compile(r"\[([a-z][a-z ]*)$"), "%": re.compile(r"%[a-z]+(?:_[a-z]*)?$")}
 _LEADER = re.compile(r"[ .…]*\s*(?:\d{1,4}|[ivxlc]{1,7})[ \t\r]*(?=\n|$)")
 _WORD = re.compile(r"[^\W\d_]+")
 _SENTENCE = re.compile(r"[^.!?]*(?:[.!?]+(?=\s|$)|[.!?]+|$)")
+_CROSSES = re.compile(r"x{4,}(?!\w)")
 _CODE = re.compile(r"\b(?=[0-9a-f]*\d)[0-9a-f]{6,}\b")
 _ALNUM = re.compile(r"[^\W_]")
 
@@ -108,7 +109,7 @@ def _is_slot(text: str, at: int, mark: str, cut: bool) -> bool:
     if mark == "__":
         return text.startswith("___", at)
     if mark == "xxxx":
-        return bool(re.match(r"(?<!\w)x{4,}(?!\w)", text[at : at + 60])) and not (at and text[at - 1].isalnum())
+        return bool(_CROSSES.match(text, at)) and not (at and text[at - 1].isalnum())
     before, after = text[at - 1] if at else " ", text[at + 3] if at + 3 < len(text) else " "
     return not (before.isalnum() or after.isalnum())
 
@@ -152,7 +153,7 @@ def is_residue(text: str | None, cut: bool = False) -> bool:
 
     if part(0, len(low)) >= COVERED:
         return True
-    return any(m.end() > m.start() and part(m.start(), m.end()) >= COVERED_SENTENCE for m in _SENTENCE.finditer(low)) if len(low) > 40 else False
+    return any(m.end() > m.start() and part(m.start(), m.end()) >= COVERED_SENTENCE for m in _SENTENCE.finditer(low))
 
 
 def _is_name_residue(text: str | None) -> bool:

@@ -47,3 +47,15 @@ def test_rows(spark):
     found = sorted(residue(spark.createDataFrame(rows, schema)).collect(), key=str)
     assert [(r.item_table, r.item_key) for r in found] == [("document_parties", "c"), ("tree_nodes", "a"), ("tree_nodes", None)]
     assert residue(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_slots_of_any_length():
+    for n in (1, 79, 81, 5000):
+        inside = "nama " * n
+        for slot in (f"{{{{{inside}}}}}", f"${{{inside}}}", f"«{inside}»", f"[{inside}]", f"<{inside}>", f"(diisi {inside})", f"%{'a' * n}b%", "X" * (n + 3)):
+            assert is_residue(f"Penyedia adalah {slot} di Jakarta."), slot[:20]
+    assert not is_residue("Ia berkata «kami setuju. Kami akan datang.» di rapat.")
+
+
+def test_short_texts_are_read_by_sentence_too():
+    assert is_residue("Lihat ini. Page not found.") and not is_residue("Pasal page not found itu kita bahas.")
