@@ -8,7 +8,8 @@ full reading all shorter ones are generated (initials, dropped parts, no legal f
 exploded; a shorter name is equi-joined with the readings that generate it. How rare a
 rewriting is decides: a form that one full reading generates, or that one of them
 outweighs, belongs to it. Misspelt anchors meet in the same way, by the forms with one
-letter less beside an initial that both names have.
+letter less beside an initial that both names have. The rewritings of a long name are too many
+to write out; there the readings of its anchor are compared with it, which finds the same ones.
 """
 
 from __future__ import annotations
@@ -24,13 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lontar.llm.residue import _is_name_residue
-from lontar.stage import Stages
+from lontar.stage import Stages, few
 
 SHARE = 0.004  # a frequent word is in so large a part of the names, so there are at most a few hundred
+FORMS_MOST = 20_000  # known short forms, a table that the caller states to be small; more are refused
 PARTNERS = 10  # and beside so many other words
 OUTWEIGHS = 0.75  # part of a form's weight that its owner must have
-LONGEST = 60  # letters of an anchor whose slips are looked for
-WORDS = 4  # words beside the anchor of which all combinations are rewritten
+LONG = 60  # letters from which an anchor's slips are looked for by its intact ends
+WORDS = 4  # words beside the anchor up to which all rewritings are written out; longer names are compared
 
 # Titles before and degrees behind a name, and legal forms spelt out.
 TITLES = {"dr", "drs", "dra", "ir", "h", "hj", "prof", "kh", "mr", "mrs", "ms"}
@@ -51,6 +53,16 @@ def shorter(word: str) -> set[str]:
     return {word} | {word[:i] + word[i + 1 :] for i in range(len(word))}
 
 
+def slip_keys(anchor: str) -> list[str]:
+    """Keys of which anchors within one slip share at least one: the forms with one letter less,
+    for a long anchor its first and its last third, of which a slip leaves one as it is."""
+    n = len(anchor)
+    out = shorter(anchor) if 3 < n <= LONG else {anchor}
+    if n >= LONG:
+        out |= {k for third in {(n - 1) // 3, n // 3} for k in (f"<{anchor[:third]}", f">{anchor[n - third :]}")}
+    return sorted(out)
+
+
 def one_slip(a: str, b: str) -> bool:
     """Whether one letter put in, left out, changed or two neighbours swapped make b of a."""
     if a == b or abs(len(a) - len(b)) > 1:
@@ -68,6 +80,7 @@ class Lexicon:
 
     def __init__(self, words: set[str], forms: dict[str, str], legal: dict[str, str]):
         self.words, self.forms, self.legal = words, forms, legal
+        self.longest = max(map(len, words | set(forms)), default=0) + 1  # nothing longer is a slip or a part of a word
         self.near: dict[str, set[str]] = {}
         for w in words:
             for s in shorter(w):
@@ -89,7 +102,7 @@ class Lexicon:
             return [self.forms[bare]]
         if bare in self.words:
             return [bare]
-        if not 2 <= len(bare) <= LONGEST:
+        if not 2 <= len(bare) <= self.longest:
             return []
         if len(bare) >= 4 or token.endswith("."):
             near = sorted({w for s in shorter(bare) for w in self.near.get(s, ()) if one_slip(bare, w)})
@@ -157,19 +170,26 @@ def read_firm(text: str, lex: Lexicon) -> list[Reading]:
     return _readings(words, odd[0] if odd else 0, tag)
 
 
-def rewritings(words: tuple[str, ...], tag: str, firm: bool) -> set[tuple[tuple[str, ...], str]]:
+def rewritings(words: tuple[str, ...], tag: str, firm: bool, most: int = WORDS) -> set[tuple[tuple[str, ...], str]]:
     """All readings that a full one generates: words as initials, parts dropped (of a firm from
-    the end), the legal form left out."""
+    the end), the legal form left out. Of more than ``most`` words only the reading itself: what
+    else those generate is found by :func:`generates`."""
     n = len(words)
-    if n <= WORDS:
-        kept = [words[:k] for k in range(1, n + 1)] if firm else [c for k in range(1, n + 1) for c in combinations(words, k)]
-        out = {f for k in kept for f in product(*[{w, w[0]} for w in k])}
-    else:
-        out = {words, tuple(w[0] for w in words)} | {words[:i] + (words[i][0],) + words[i + 1 :] for i in range(n)} | {words[:i] + words[i + 1 :] for i in range(n)}
-    out.add(words)
+    kept = [] if n > most else [words[:k] for k in range(1, n + 1)] if firm else [c for k in range(1, n + 1) for c in combinations(words, k)]
+    out = {f for k in kept for f in product(*[{w, w[0]} for w in k])} | {words}
     return {(f, g) for f in out for g in {tag, ""}}
 
 
+def generates(words: tuple[str, ...], tag: str, form: tuple[str, ...], form_tag: str, firm: bool) -> bool:
+    """Whether ``form`` is one of the rewritings of a reading, found by comparing the two."""
+    if form_tag not in (tag, "") or (not form and words):
+        return False
+    if firm:
+        return len(form) <= len(words) and all(f in (w, w[0]) for f, w in zip(form, words, strict=False))
+    rest = iter(words)
+    return all(any(f in (w, w[0]) for w in rest) for f in form)
+
+
 def _read(batches: Iterator[pd.DataFrame], lex: Lexicon, firm: bool) -> Iterator[pd.DataFrame]:
     reader = read_firm if firm else read_person
     for d in batches:
@@ -179,18 +199,38 @@ def _read(batches: Iterator[pd.DataFrame], lex: Lexicon, firm: bool) -> Iterator
                 continue
             found = reader(text, lex)
             for anchor, words, tag in found:
-                rows.append((text, n, len(found), anchor, " ".join(words), tag, sorted({w[0] for w in words}) or [""], sorted(shorter(anchor)) if 3 < len(anchor) <= LONGEST else [anchor]))
+                rows.append((text, n, len(found), anchor, " ".join(words), tag, sorted({w[0] for w in words}) or [""], slip_keys(anchor)))
         yield pd.DataFrame(rows, columns=["text", "n", "choices", "anchor", "words", "tag", "initials", "shorter"])
 
 
+def _split(words: str) -> tuple[str, ...]:
+    return tuple(words.split(" ")) if words else ()
+
+
+FORMS = "anchor string, words string, tag string, n long, form string, form_tag string"
+_FORMS = [c.split(" ")[0] for c in FORMS.split(", ")]
+
+
 def _forms(batches: Iterator[pd.DataFrame], firm: bool) -> Iterator[pd.DataFrame]:
     for d in batches:
-        rows = [
-            (anchor, words, tag, n, " ".join(form), g)
-            for anchor, words, tag, n in zip(d["anchor"], d["words"], d["tag"], d["n"], strict=True)
-            for form, g in rewritings(tuple(words.split(" ")) if words else (), tag, firm)
-        ]
-        yield pd.DataFrame(rows, columns=["anchor", "words", "tag", "n", "form", "form_tag"])
+        rows = [(anchor, words, tag, n, " ".join(form), g) for anchor, words, tag, n in zip(d["anchor"], d["words"], d["tag"], d["n"], strict=True) for form, g in rewritings(_split(words), tag, firm)]
+        yield pd.DataFrame(rows, columns=_FORMS)
+
+
+def _compared(batches: Iterator[pd.DataFrame], firm: bool) -> Iterator[pd.DataFrame]:
+    for d in batches:
+        fits = [generates(_split(w), t, _split(f), g, firm) for w, t, f, g in zip(d["words"], d["tag"], d["form"], d["form_tag"], strict=True)]
+        yield d.loc[fits, _FORMS]
+
+
+def _made(readings: DataFrame, firm: bool) -> DataFrame:
+    """The readings that each reading generates, itself included: written out for short ones; a long
+    one is compared with the readings of its anchor."""
+    long = F.size(F.split("words", " ")) > WORDS
+    written = readings.filter(~long).mapInPandas(partial(_forms, firm=firm), FORMS)
+    other = readings.select("anchor", F.col("words").alias("form"), F.col("tag").alias("form_tag"))
+    met = readings.filter(long).join(other, "anchor").filter(F.size(F.split("form", " ")) <= F.size(F.split("words", " ")))
+    return written.unionByName(met.select(_FORMS).mapInPandas(partial(_compared, firm=firm), FORMS))
 
 
 def _lexicon(names: DataFrame, forms: list, firm: bool) -> Lexicon:
@@ -207,7 +247,7 @@ def _lexicon(names: DataFrame, forms: list, firm: bool) -> Lexicon:
     each = words.select("n", "w", F.explode("w").alias("word"))
     frequent = each.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(3, SHARE * total)).withColumnRenamed("n", "rows")
     # at most a few hundred words: a share of all names bounds their number
-    beside = each.join(F.broadcast(frequent), "word").select("word", "rows", F.explode("w").alias("other")).groupBy("word", "rows").agg(F.approx_count_distinct("other").alias("m"))
+    beside = each.join(few(frequent), "word").select("word", "rows", F.explode("w").alias("other")).groupBy("word", "rows").agg(F.approx_count_distinct("other").alias("m"))
     often = {plain(r.word): r.rows for r in beside.filter(F.col("m") >= PARTNERS).collect()}
     found = {w for w, m in often.items() if not any(m * 3 <= often[x] and one_slip(w, x) for x in often)}  # a common slip is no word
     known = {v for v in short.values()}
@@ -233,10 +273,14 @@ def _anchors(read: DataFrame, stages: Stages) -> DataFrame:
     met = met.join(same.groupBy("anchor", "canon").agg(F.count("*").alias("same")), ["anchor", "canon"], "left")
     to = met.groupBy("anchor").agg(F.max(F.struct(F.coalesce("same", F.lit(0)).alias("same"), "m", "canon")).alias("x"))
     to = stages.write(to.select("anchor", F.col("x.canon").alias("canon")), "to")
-    for i in range(2):  # a spelling may lead to one that itself leads on
+    i = 0
+    while True:  # a spelling may lead to one that itself leads on; steps double, and each leads to a more frequent one
         on = to.select(F.col("anchor").alias("canon"), F.col("canon").alias("far"))
-        to = stages.write(to.join(on, "canon", "left").select("anchor", F.coalesce("far", "canon").alias("canon")), f"to{i}")
-    return to
+        to = stages.write(to.join(on, "canon", "left").select("anchor", F.coalesce("far", "canon").alias("canon"), F.col("far").isNotNull().alias("moved")), f"to{i}")
+        moved, i = not to.filter("moved").isEmpty(), i + 1
+        to = to.drop("moved")
+        if not moved:
+            return to
 
 
 def entities(names: DataFrame, forms: DataFrame, firm: bool) -> DataFrame:
@@ -244,7 +288,10 @@ def entities(names: DataFrame, forms: DataFrame, firm: bool) -> DataFrame:
     the same. ``forms`` (form_kind, short_form, full_form) is a table of fixed size."""
     stages = Stages(names.sparkSession, "names")
     names = stages.write(names, "texts")
-    lex = _lexicon(names, forms.distinct().collect(), firm)
+    known = forms.distinct().limit(FORMS_MOST + 1).collect()
+    if len(known) > FORMS_MOST:
+        raise ValueError(f"more than {FORMS_MOST} known short forms")
+    lex = _lexicon(names, known, firm)
     read = stages.write(names.mapInPandas(partial(_read, lex=lex, firm=firm), "text string, n long, choices int, anchor string, words string, tag string, initials array<string>, shorter array<string>"), "read")
     to = _anchors(read, stages)
     read = stages.write(read.join(to, "anchor", "left").select("text", "n", "choices", F.coalesce("canon", "anchor").alias("anchor"), "words", "tag"), "anchored")
@@ -255,7 +302,7 @@ def entities(names: DataFrame, forms: DataFrame, firm: bool) -> DataFrame:
     pick = pick.groupBy("text").agg(F.max(F.struct("told", "words", "anchor", "tag", "n")).alias("x")).select("text", "x.n", "x.anchor", "x.words", "x.tag")
     read = stages.write(read.filter("choices = 1").select("text", "n", *one).unionByName(pick), "chosen")
     readings = read.groupBy(one).agg(F.sum("n").alias("n"))
-    made = stages.write(readings.mapInPandas(partial(_forms, firm=firm), "anchor string, words string, tag string, n long, form string, form_tag string"), "forms")
+    made = stages.write(_made(readings, firm), "forms")
     proper = made.filter("form <> words or form_tag <> tag").select("anchor", F.col("form").alias("words"), F.col("form_tag").alias("tag")).distinct()
     whole = readings.join(proper, one, "left_anti").select(one)
     owners = made.join(whole, one).groupBy("anchor", "form", "form_tag").agg(F.sum("n").alias("all"), F.max(F.struct("n", "words", "tag")).alias("o"))
