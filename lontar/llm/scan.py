@@ -14,8 +14,9 @@ are misread.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import partial
 
 import pandas as pd
@@ -27,7 +28,15 @@ from lontar.operators.nested import _nodes, parse, text
 KNOWN = 4e-5  # part of all words that makes a word known
 SEEN = 5e-6  # the same where no confusion leads to a much more frequent word; at most 1 / SEEN words are held
 TIMES = 20  # "much more frequent"
-SAMPLE = 20_000  # texts that the perceptrons are fitted on
+# Bounds of what the perceptrons are fitted on; rows beyond them are left out by a hash, so what is
+# kept is spread over all words and texts.
+SAMPLE = 20_000  # texts
+ALIGNED = 6_000  # misread words beside their known ones
+CLEAN = 3_000  # known words that stay as they are
+HYPHENED = 500  # known words with a hyphen
+JOINS = 20_000  # line ends
+FURNITURE = 5_000  # lines that recur in their document
+BODY = 15_000  # lines that do not
 EPOCHS = 3
 FLUSH = 200_000  # distinct words a task holds before it gives their counts out
 MARKS = "-\xad¬‐‑‒–"  # fixed value: marks that break a word at a line end
@@ -36,7 +45,7 @@ _EDGE = ".,;:()[]\"'!?"
 _ROMAN = r"(?=[ivxlc])(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})"
 PAGE = re.compile(rf"^(?:(?:hal(?:aman)?|page|p|hlm)\b\.?\s*)?[-–—~\[(]*\s*(?:\d{{1,4}}|{_ROMAN})(?:\s*(?:/|dari|of)\s*\d{{1,4}})?\s*[-–—~\])]*$", re.I)
 _TAIL_PAGE = re.compile(rf"^(.*\S)\s{{2,}}(?:(?:hal(?:aman)?|page)\b\.?\s*)?[-–—~\[(]*\s*(?:\d{{1,4}}|{_ROMAN})\s*[-–—~\])]*$", re.I)
-_BROKEN = re.compile(rf"([^\W_][\w@|'-]*)[{MARKS}]$")
+_INSIDE = "_@|'-"
 _FIRST = re.compile(r"[ \t]*([\w@|'-]*[^\W_])")
 _LETTER = re.compile(r"[^\W\d_]")
 _INNER = re.compile(r"(?<=[^\W\d_])[\d@|$!](?=[^\W\d_])|^[\d@|$](?=[^\W\d_]{3})|(?<=[^\W\d_]{4})[\d@|$]$")
@@ -70,18 +79,25 @@ class Perceptron:
         return {k: v - self.total[k] / max(1, self.t) for k, v in self.w.items()}
 
 
+def _some(rows: Iterable, most: int, key: Callable = repr) -> list:
+    """At most ``most`` of the rows, those of the least hash, in the order they come in."""
+    rows = list(rows)
+    least = sorted(range(len(rows)), key=lambda i: (zlib.crc32(key(rows[i]).encode()), i))[:most] if len(rows) > most else range(len(rows))
+    return [rows[i] for i in sorted(least)]
+
+
 def _features(word: str, i: int) -> list[str]:
     """What the editor sees at a character: it, its neighbours, and their kinds."""
-    w = f"^^{word}$$"
-    a, b, c, d = w[i + 1], w[i + 2], w[i + 3], w[i + 4]
+    a, b = word[i - 1] if i else "^", word[i]
+    c, d = (word[j] if j < len(word) else "$" for j in (i + 1, i + 2))
     kind = "a" if b.isalpha() else "9" if b.isdigit() else "@"
     around = ("a" if a.isalpha() else ".") + ("a" if c.isalpha() else ".")
     return [f"0{b}", f"1{a}{b}", f"2{b}{c}", f"3{a}{b}{c}", f"4{b}{c}{d}", f"5{kind}{around}"]
 
 
-def _operations(word: str, at: int, wrong: str, right: str) -> list[tuple[int, str]]:
-    """Editing ``wrong`` at a place of a word to ``right``: an operation for each character."""
-    ops = [(i, "keep") for i in range(len(word)) if not at <= i < at + len(wrong)]
+def _edited(at: int, wrong: str, right: str) -> list[tuple[int, str]]:
+    """An operation for each character of ``wrong`` at a place, that make ``right`` of it."""
+    ops = []
     for k in range(len(wrong)):
         if k < len(right):
             op = "keep" if wrong[k] == right[k] else f"replace {right[k]}"
@@ -93,6 +109,11 @@ def _operations(word: str, at: int, wrong: str, right: str) -> list[tuple[int, s
     return ops
 
 
+def _operations(word: str, at: int, wrong: str, right: str) -> list[tuple[int, str]]:
+    """The same with the characters around, which are kept."""
+    return [(i, "keep") for i in range(len(word)) if not at <= i < at + len(wrong)] + _edited(at, wrong, right)
+
+
 class Model:
     """What a worker needs to read a text."""
 
@@ -101,6 +122,8 @@ class Model:
         self.join: dict[tuple[str, str], float] = {}
         widths = sorted({len(x) for x in confusions}, reverse=True)
         self.places = [re.compile("(?=(" + "|".join(re.escape(x) for x in sorted(confusions) if len(x) == n) + "))") for n in widths]
+        self.longest = max(map(len, known), default=0)
+        self.shrinks = max((len(a) - len(b) for a, bs in confusions.items() for b in bs), default=0)
         self.cache: dict[str, str | None] = {}
         # of each kind of feature of a line, how much it can speak for furniture at most
         self.line_weight = {f: furniture.get((f, "yes"), 0.0) - furniture.get((f, "no"), 0.0) for f, _ in furniture}
@@ -134,15 +157,16 @@ class Model:
         return self._word(word)
 
     def _word(self, word: str) -> str | None:
-        if word in self.known or len(word) < 3 or len(word) > 60:
+        if word in self.known or len(word) < 3:
             return None
         best = None
-        for new, at, wrong, right in self._edits(word):
+        near = len(word) <= self.longest + 2 * self.shrinks  # two edits make no known word of a longer one
+        for new, at, wrong, right in self._edits(word) if near else ():
             if new in self.known:
                 margin = self._margin(word, at, wrong, right)
                 if best is None or margin > best[0]:
                     best = (margin, new)
-        if best is None and len(word) > 5:
+        if best is None and len(word) > 5 and near:
             for once, at, wrong, right in self._edits(word):
                 if self._margin(word, at, wrong, right) > 0:
                     for new, at2, wrong2, right2 in self._edits(once):
@@ -152,13 +176,13 @@ class Model:
             return best[1]
         odd = sum(not c.isalpha() for c in word)
         if _INNER.search(word) and odd * 4 <= len(word):  # no known word, but no letter either
-            out = word
-            for m in reversed(list(_INNER.finditer(word))):
+            out = list(word)
+            for m in _INNER.finditer(word):
                 rights = [r for r in self.confusions.get(m[0], []) if len(r) == 1]
                 if not rights:
                     return None
-                out = out[: m.start()] + max(rights, key=lambda r: self._margin(word, m.start(), m[0], r)) + out[m.end() :]
-            return out
+                out[m.start()] = max(rights, key=lambda r: self._margin(word, m.start(), m[0], r))
+            return "".join(out)
         return None
 
     def _edits(self, word: str) -> Iterator[tuple[str, int, str, str]]:
@@ -171,7 +195,7 @@ class Model:
     def _margin(self, word: str, at: int, wrong: str, right: str) -> float:
         """By how much the editor prefers the operations of an edit to keeping the characters."""
         out = 0.0
-        for i, op in _operations(word, at, wrong, right):
+        for i, op in _edited(at, wrong, right):
             if op != "keep":
                 fs = _features(word, i)
                 out += sum(self.editor.get((f, op), 0.0) - self.editor.get((f, "keep"), 0.0) for f in fs)
@@ -219,7 +243,7 @@ def line_features(lines: list[str], i: int, known: set[str]) -> list[str]:
         f"upper {line.isupper()}",
         f"low {sum(w in known and w.islower() for w in [x for x in letters if x[0].islower()][:4]) > 1}",
         f"ends {line[-1:] in '.;:,'}",
-        f"broken {bool(_BROKEN.search(lines[i]))}",
+        f"broken {bool(_broken(lines[i]))}",
         f"before {before[-1:] in '.;:' if before else 'none'}",
         f"after {after[0].islower() if after else 'none'}",
         f"short {len(line) * 3 < longest * 2}",
@@ -228,6 +252,19 @@ def line_features(lines: list[str], i: int, known: set[str]) -> list[str]:
     ]
 
 
+def _broken(line: str) -> tuple[str, str] | None:
+    """The word broken at the end of a line, and its mark: the letters, digits and marks of words
+    before it, from the first letter or digit on."""
+    if line[-1:] not in MARKS or not line:
+        return None
+    at = end = len(line) - 1
+    while at and (line[at - 1].isalnum() or line[at - 1] in _INSIDE):
+        at -= 1
+    while at < end and line[at] in _INSIDE:
+        at += 1
+    return (line[at:end], line[-1]) if at < end else None
+
+
 def _plain(line: str) -> str:
     """A line without the page number behind it, digits masked: what recurs from page to page."""
     m = _TAIL_PAGE.match(line.strip())
@@ -235,7 +272,9 @@ def _plain(line: str) -> str:
 
 
 def read(raw: str, model: Model) -> tuple[set[str], str]:
-    """Kinds of noise in a text, and the text repaired."""
+    """Kinds of noise in a text, and the text repaired: its paragraphs, parted by a blank line, each
+    on one line. Furniture that interrupts is taken out; what stands at the beginning or the end
+    interrupts nothing and stays as it is."""
     kinds: set[str] = set()
     if "\n" not in raw:
         words = raw.split(" ")
@@ -244,43 +283,57 @@ def read(raw: str, model: Model) -> tuple[set[str], str]:
             kinds.add("misread")
         return kinds, " ".join(out)
     lines = raw.replace("\r\n", "\n").replace("\r", "\n").split("\n")
-    body: list[str] = []
+    body: list[tuple[str, bool]] = []  # (line, whether a blank line and nothing else parts it from the one before)
     marks = []
+    blank = furniture = False
     for i, line in enumerate(lines):
         s = line.strip()
         if not s:
+            blank = True
             continue
         if PAGE.match(s):
-            marks.append((len(body), ("page_number",), s))
+            names = ("page_number",)
         elif "  " in s and (m := _TAIL_PAGE.match(s)) and model.is_header([*lines[:i], m[1], *lines[i + 1 :]], i):
-            marks.append((len(body), ("running_header", "page_number"), s))
+            names = ("running_header", "page_number")
         elif len(lines) > 1 and model.is_header(lines, i):
-            marks.append((len(body), ("running_header",), s))
+            names = ("running_header",)
         else:
-            body.append(line)
-    for at, names, s in marks:  # only what interrupts the text
+            body.append((line, blank and not furniture))
+            blank = furniture = False
+            continue
+        marks.append((len(body), names, s))
+        furniture = True
+    for at, names, _ in marks:  # only what interrupts the text
         if 0 < at < len(body):
             kinds.update(names)
+    lead, trail = ([s for at, _, s in marks if at == end] for end in (0, len(body)))
     if not body:
-        return kinds, raw.strip()
-    parts = [body[0].strip()]
-    for line in body[1:]:
+        return kinds, "\n".join(lead)
+    paragraphs = [[body[0][0].strip()]]
+    for line, apart in body[1:]:
+        parts = paragraphs[-1]
         line, last = line.strip(), parts[-1]
-        m = _BROKEN.search(last[-80:]) if last[-1:] in MARKS else None
+        m = _broken(last) if last[-1:] in MARKS else None
         n = _FIRST.match(line) if m else None
         if not n:
-            parts.append(" " + line)
-        elif n[1][0].isdigit() or _own_hyphen(m[1], n[1], last[-1], model):
+            if apart:
+                paragraphs.append([line])
+            else:
+                parts.append(" " + line)
+        elif n[1][0].isdigit() or _own_hyphen(m[0], n[1], m[1], model):
             parts.append(line)
         else:
             kinds.add("split_word")
             parts[-1] = last[:-1]
             parts.append(line)
-    words = "".join(parts).split()
-    out = model.mend_all(words)
-    if out is not words:
-        kinds.add("misread")
-    return kinds, " ".join(out)
+    out = []
+    for parts in paragraphs:
+        words = "".join(parts).split()
+        new = model.mend_all(words)
+        if new is not words:
+            kinds.add("misread")
+        out.append(" ".join(new))
+    return kinds, "\n\n".join(["\n".join(x) for x in (lead,) if x] + out + ["\n".join(x) for x in (trail,) if x])
 
 
 def join_features(a: str, b: str, mark: str, known: set[str], mended) -> list[str]:
@@ -319,7 +372,7 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         plain: Counter = Counter()
         for w, n in counts.items():
             w = w.strip(_EDGE)
-            if 2 < len(w) <= 40 and _LETTER.search(w):
+            if len(w) > 2 and _LETTER.search(w):
                 plain[w] += n
         counts.clear()
         return pd.DataFrame({"word": pd.Series(list(plain), dtype=object), "n": pd.Series(list(plain.values()), dtype="int64")})
@@ -358,11 +411,12 @@ def fit(counts: dict[str, int], total: float, sample: list[tuple[str, str]]) ->
     for w in alpha:
         for key, mid in _windows(w):
             index[key].add((w, mid))
+    longest = max(map(len, alpha), default=0) + 2  # nothing longer differs from a known word in one window
     here = Counter(w.strip(_EDGE) for _, t in sample for w in t.split())
     pairs: dict[tuple[str, str], set[str]] = defaultdict(set)
     aligned: list[tuple[str, int, str, str]] = []
     for w, n in here.items():
-        if len(w) < 4 or len(w) > 40 or "-" in w or not _LETTER.search(w):
+        if not 4 <= len(w) <= longest or "-" in w or not _LETTER.search(w):
             continue
         n = max(n, counts.get(w, 0))
         found = {(k, len(key[0]), mid, right) for key, mid in _windows(w) for k, right in index.get(key, ()) if mid != right and not (mid[0] == right[0] or mid[-1] == right[-1]) and len(mid) + len(right) <= 4 and counts[k] >= TIMES * n}
@@ -377,8 +431,8 @@ def fit(counts: dict[str, int], total: float, sample: list[tuple[str, str]]) ->
         if len(ws) >= least and not (len(mid) == len(right) == 2):
             confusions[mid].append(right)
     editor = Perceptron()
-    aligned = [x for x in sorted(aligned) if x[3] in confusions.get(x[2], ())][:6000]
-    clean = sorted(alpha)[:3000]
+    aligned = _some((x for x in sorted(aligned) if x[3] in confusions.get(x[2], ())), ALIGNED)
+    clean = _some(sorted(alpha), CLEAN)
     labels = sorted({op for w, at, a, b in aligned for _, op in _operations(w, at, a, b)} | {"keep"})
     for _ in range(EPOCHS):
         for w, at, a, b in aligned:
@@ -392,7 +446,9 @@ def fit(counts: dict[str, int], total: float, sample: list[tuple[str, str]]) ->
     furniture = _fit_furniture(sample, known)
     model = Model(known, dict(confusions), editor.averaged(), furniture)
     # the less frequent words too, and none that a confusion makes of a much more frequent one
-    for w in sorted(w for w, n in counts.items() if n >= max(3, SEEN * total)):
+    often = sorted(w for w, n in counts.items() if n >= max(3, SEEN * total))
+    model.longest = max(map(len, often), default=0)
+    for w in often:
         known.discard(w)
         better = model._mended(w)
         if not (better and counts.get(better, 0) >= TIMES * counts[w]) and not _INNER.search(w):
@@ -408,23 +464,25 @@ def _fit_joins(sample: list[tuple[str, str]], model: Model) -> dict:
     word repeated with itself keeps its hyphen."""
     p = Perceptron()
     rows = [(["bias", "mark -", "whole False", "hyphen False", "a True", "b True", "twice True"], "keep"), (["bias", "mark -", "whole False", "hyphen False", "a False", "b False", "twice False"], "join")]
-    hyphened = sorted(w for w in model.known if re.fullmatch(r"[^\W\d_]+-[^\W\d_]+", w))[:500]
-    plain = sorted(w for w in model.known if w.isalpha() and len(w) > 5)[: max(20, len(hyphened))]
+    hyphened = _some((w for w in sorted(model.known) if re.fullmatch(r"[^\W\d_]+-[^\W\d_]+", w)), HYPHENED)
+    plain = _some((w for w in sorted(model.known) if w.isalpha() and len(w) > 5), max(20, len(hyphened)))
     for w in hyphened:
         rows.append((join_features(*w.split("-"), "-", model.known, model.mended), "keep"))
     for w in plain:
         rows.append((join_features(w[: len(w) // 2], w[len(w) // 2 :], "-", model.known, model.mended), "join"))
+    seen = []
     for _, t in sample:
         lines = [x.strip() for x in t.split("\n")] if "\n" in t else []
         for one, two in zip(lines, lines[1:], strict=False):
-            m = _BROKEN.search(one[-80:]) if one[-1:] == "-" else None
+            m = _broken(one) if one[-1:] == "-" else None
             n = _FIRST.match(two) if m else None
             if n and not n[1][0].isdigit():
-                fs = join_features(m[1], n[1], "-", model.known, model.mended)
+                fs = join_features(m[0], n[1], "-", model.known, model.mended)
                 if ("whole True" in fs) != ("hyphen True" in fs):
-                    rows.append((fs, "join" if "whole True" in fs else "keep"))
+                    seen.append((f"{m[0]}-{n[1]}", (fs, "join" if "whole True" in fs else "keep")))
+    rows += [r for _, r in _some(seen, JOINS, lambda r: r[0])]
     for _ in range(EPOCHS):
-        for fs, label in rows[:20_000]:
+        for fs, label in rows:
             p.learn(fs, label, ["join", "keep"])
     return p.averaged()
 
@@ -447,15 +505,15 @@ def _fit_furniture(sample: list[tuple[str, str]], known: set[str]) -> dict:
                 n, m = recur[doc, _plain(line)], _TAIL_PAGE.match(s)
                 own = n >= 3 and 2 * n > everywhere[_plain(line)]
                 if own or n != 2:
-                    rows.append((line_features([*lines[:i], m[1] if m else line, *lines[i + 1 :]], i, known), "yes" if own else "no"))
-    yes = [r for r in rows if r[1] == "yes"][:5000]
-    first = {f for fs, _ in yes for f in fs if f.startswith("first ")}
+                    rows.append((line_features([*lines[:i], m[1] if m else line, *lines[i + 1 :]], i, known), "yes" if own else "no", f"{doc} {i} {s}"))
+    yes = _some((r for r in rows if r[1] == "yes"), FURNITURE, lambda r: r[2])
+    first = {f for fs, *_ in yes for f in fs if f.startswith("first ")}
     # a line seen once that begins like a recurring one tells nothing: it may be the only page of its document
-    no = [r for r in rows if r[1] == "no" and not first & set(r[0])][:15000]
+    no = _some((r for r in rows if r[1] == "no" and not first & set(r[0])), BODY, lambda r: r[2])
     step = max(1, len(no) // max(1, len(yes)))
     mixed = [r for k, y in enumerate(yes) for r in (y, *no[k * step : (k + 1) * step])] or no
     for _ in range(EPOCHS):
-        for fs, label in mixed:
+        for fs, label, _ in mixed:
             p.learn(fs, label, ["no", "yes"])
     return p.averaged()
 
@@ -491,10 +549,11 @@ def fitted(texts: DataFrame) -> Model:
     often = {r.word: r.n for r in counted.filter((F.col("n") >= max(3, SEEN * total)) | (F.col("word") == "")).collect()}  # at most 1 / SEEN words
     counted.unpersist()
     n_texts = often.pop("", 0)
-    # whole stretches of documents, by a hash; a quarter more than needed, so that the limit cuts little
+    # whole stretches of documents, those of the least hash; a quarter more than needed is looked at
     block = F.pmod(F.xxhash64("doc", F.pmod(F.xxhash64("item_key"), F.lit(8))), F.lit(1 << 20))
     share = int((1 << 20) * min(1.0, 1.25 * SAMPLE / max(1, n_texts))) + 1
-    some = rows.filter(block < share).limit(SAMPLE).select("doc", "text").collect()
+    some = rows.withColumns({"block": block, "order": F.xxhash64("item_key", "text")}).filter(F.col("block") < share)
+    some = some.orderBy("block", "order", "item_key").limit(SAMPLE).select("doc", "text").collect()
     return fit(often, total, [(r.doc, r.text) for r in some])
 
 
@@ -523,7 +582,8 @@ def noise(texts: DataFrame, model: Model | None = None) -> DataFrame:
 
 
 def repaired(texts: DataFrame, model: Model | None = None) -> DataFrame:
-    """item_table, item_key, text: the texts as continuous paragraphs; null and empty ones left out."""
+    """item_table, item_key, text: the texts as continuous paragraphs (see :func:`read`); null and
+    empty ones left out."""
     model = model or fitted(texts)
     rows = texts.select("item_table", "item_key", "text").filter(F.length("text") > 0)
     return rows.mapInPandas(partial(_repair, model=model), "item_table string, item_key string, text string").distinct()

@@ -81,3 +81,35 @@ def test_rows(spark, model):
     assert S.noise(d.limit(0)).count() == S.repaired(d.limit(0)).count() == 0
     raw = spark.createDataFrame([(1, '{"structure": [{"node_id": "n", "text_raw": "a"}]}'), (2, "{"), (3, None)], "raw_id long, raw string")
     assert [(r.item_key, r.text) for r in S.record_texts(raw, "raw_id", "raw").collect()] == [("1/n", "a")]
+
+
+def test_repair_keeps_paragraphs_and_what_interrupts_nothing(model):
+    raw = "2024\npenyedia wajib\nkepada pengguna\n\nnilai kontrak\n12"
+    assert S.read(raw, model) == (set(), "2024\n\npenyedia wajib kepada pengguna\n\nnilai kontrak\n\n12")
+    assert S.read("penyedia wajib\n\n- 3 -\n\nkepada pengguna", model) == ({"page_number"}, "penyedia wajib kepada pengguna")
+    assert S.read("menye-\n\nrahkan surat", model)[1] == "menyerahkan surat"
+
+
+def test_repair_loses_no_word(model):
+    for _, text, kinds in corpus(3, 300):
+        got_kinds, got = S.read(text, model)
+        if not got_kinds:
+            assert got.split() == text.split()
+
+
+def test_words_of_any_length(model):
+    long = "penyedia" * 40_000
+    assert S.read(f"{long}\nwajib", model) == (set(), f"{long} wajib")
+    assert S.read(f"{long}-\nwajib", model)[1] == f"{long}wajib"
+    assert S.read(f"penyedia{'x' * 5000}@{'x' * 20}", model)[0] == {"misread"}
+
+
+def test_fit_depends_on_no_order():
+    rows = [(d, t) for d, t, _ in corpus(4, 400)]
+    counts = {}
+    for _, t in rows:
+        for w in t.split():
+            counts[w] = counts.get(w, 0) + 1
+    a = S.fit(counts, sum(counts.values()), rows)
+    b = S.fit(dict(reversed(counts.items())), sum(counts.values()), rows)
+    assert a.known == b.known and a.editor == b.editor and a.furniture == b.furniture and a.join == b.join
