@@ -44,4 +44,18 @@ def p10_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p10_found": p10_found, "p10_shared": p10_shared}
-SQL: dict[str, str] = {}
+# Every window of 240 characters of every text, by its hash of 128 bits.
+_WINDOWS = """
+WITH texts AS (SELECT DISTINCT doc_id, text FROM documents WHERE length(text) >= 240),
+w AS MATERIALIZED (SELECT doc_id, i, md5_number(text[i : i + 239]) AS g FROM (SELECT doc_id, text, unnest(range(1, length(text) - 238)) AS i FROM texts))"""
+
+SQL = {
+    "p10_found": f"""{_WINDOWS},
+once AS (SELECT DISTINCT doc_id, g FROM w WHERE g IN (SELECT g FROM w GROUP BY g HAVING min(doc_id) < max(doc_id)))
+SELECT DISTINCT a.doc_id AS doc_a, b.doc_id AS doc_b FROM once a JOIN once b ON a.g = b.g AND a.doc_id < b.doc_id""",
+    "p10_shared": f"""{_WINDOWS},
+hit AS (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS nxt FROM w WHERE g IN (SELECT g FROM w GROUP BY g HAVING min(doc_id) < max(doc_id))),
+s AS (SELECT doc_id, sum(least(240, coalesce(nxt - i, 240)))::BIGINT AS n FROM hit GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shared, CASE WHEN length(text) > 0 THEN coalesce(n, 0) / length(text) ELSE 0.0 END AS shared_part
+FROM (SELECT DISTINCT doc_id, text FROM documents) LEFT JOIN s USING (doc_id)""",
+}
