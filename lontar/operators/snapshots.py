@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -100,20 +101,24 @@ def ordinals(keys: DataFrame, names: list[str], stages: Stages, known: DataFrame
     return new if known is None else known.select(*names, "ordinal").unionByName(new)
 
 
-class _Block:
-    """One snapshot of one block of ordinals: its bitmap, and its column vectors in their order."""
+class _Block(NamedTuple):
+    """One snapshot of one block of ordinals: its bitmap, and where its rows begin in the chunk."""
 
-    __slots__ = ("where", "no", "prev", "next", "keys", "at", "columns")
+    block: int
+    entity: str | None
+    no: int
+    prev: int | None
+    next: int | None
+    at: np.ndarray
+    keys: Bitmap
+    row: int
 
-    def __init__(self, where: tuple, no: int, prev: int | None, nxt: int | None, rows: pa.Table, fields: list[str]):
-        self.where, self.no, self.prev, self.next = where, no, prev, nxt
-        at = rows.column("ordinal").to_numpy() - where[0] * SPAN
-        first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])  # of equal ordinals the first, which is the latest
-        if len(first) < len(at):
-            rows = rows.take(pa.array(first))
-        self.at = at[first]
-        self.keys = Bitmap.of(self.at)
-        self.columns = [rows.column(f).combine_chunks() for f in fields]
+    def rows(self, positions: np.ndarray) -> np.ndarray:
+        return self.row + np.searchsorted(self.at, positions)
+
+
+EMPTY = Bitmap.of(np.zeros(0, np.int64))
+FOUND = pa.schema([("entity", pa.string()), ("no", pa.int64()), ("ordinal", pa.int64()), ("change", pa.string()), ("fields", pa.list_(pa.string()))])
 
 
 def _differ(x: pa.Array, y: pa.Array) -> np.ndarray:
@@ -122,81 +127,92 @@ def _differ(x: pa.Array, y: pa.Array) -> np.ndarray:
     return pc.or_(unequal, pc.xor(pc.is_null(x), pc.is_null(y))).to_numpy(zero_copy_only=False)
 
 
-Found = tuple[str | None, int, np.ndarray, str, list]
-
-
-def _changes(a: _Block | None, b: _Block | None, no: int, fields: list[str]) -> Iterator[Found]:
-    """(entity, number, ordinals, change, names of the fields of each) between two snapshots of a block."""
-    block = a or b
-    base, entity = block.where[0] * SPAN, block.where[1]
-    none = Bitmap.of(np.zeros(0, np.int64))
-    before, after = a.keys if a else none, b.keys if b else none
-    for change, bitmap in (("removed", before.without(after)), ("added", after.without(before))):
-        at = bitmap.positions()
-        if len(at):
-            yield entity, no, base + at, change, [None] * len(at)
-    both = (before & after).positions()
-    if not len(both):
-        return
-    i, j = pa.array(np.searchsorted(a.at, both)), pa.array(np.searchsorted(b.at, both))
-    differ = np.stack([_differ(x.take(i), y.take(j)) for x, y in zip(a.columns, b.columns, strict=True)])
-    which = np.flatnonzero(differ.any(axis=0))
-    if len(which):
-        yield entity, no, base + both[which], "changed", [[f for f, d in zip(fields, differ[:, k], strict=True) if d] for k in which]
-
-
-def _batch(found: list[Found]) -> pa.RecordBatch:
-    size = [len(x[2]) for x in found]
-    spread = lambda k, kind: pa.array([x[k] for x in found], kind).take(pa.array(np.repeat(np.arange(len(found)), size)))
-    ordinal = np.concatenate([x[2] for x in found]) if found else np.zeros(0, np.int64)
-    named = pa.array([f for x in found for f in x[4]], pa.list_(pa.string()))
-    return pa.RecordBatch.from_arrays([spread(0, pa.string()), spread(1, pa.int64()), pa.array(ordinal, pa.int64()), spread(3, pa.string()), named], names=["entity", "no", "ordinal", "change", "fields"])
-
-
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.Table]]:
-    """Stretches of rows of one (block, entity, snapshot); one that reaches over batches is joined."""
-    open_: list[pa.Table] = []
-    key: tuple | None = None
-    for d in batches:
-        if not d.num_rows:
-            continue
-        t = pa.Table.from_batches([d])
-        block, no = t.column("block").to_numpy(), t.column("no").to_numpy()
-        entity = t.column("entity").combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
-        starts = np.flatnonzero(np.r_[True, (block[1:] != block[:-1]) | (no[1:] != no[:-1]) | (entity[1:] != entity[:-1])])
-        for s, e in zip(starts, [*starts[1:], t.num_rows], strict=True):
-            part = t.slice(s, e - s)
-            first = tuple(part.column(c)[0].as_py() for c in ("block", "entity", "no", "prev", "next"))
-            if key is not None and first != key:
-                yield key, pa.concat_tables(open_)
-                open_ = []
-            key = first
-            open_.append(part)
-    if key is not None:
-        yield key, pa.concat_tables(open_)
+class _Changes:
+    """What the bitmaps of neighbouring snapshots tell, gathered for a chunk of rows, so that the
+    vectors of all its blocks are aligned and compared at once."""
+
+    def __init__(self):
+        self.lone: list[tuple[_Block, int, np.ndarray, str]] = []
+        self.both: list[tuple[_Block, np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def add(self, a: _Block | None, b: _Block | None, no: int) -> None:
+        before, after = a.keys if a else EMPTY, b.keys if b else EMPTY
+        for change, bitmap in (("removed", before.without(after)), ("added", after.without(before))):
+            at = bitmap.positions()
+            if len(at):
+                self.lone.append((a or b, no, at, change))
+        if a and b and len(at := (before & after).positions()):
+            self.both.append((b, at, a.rows(at), b.rows(at)))
+
+    def batches(self, rows: pa.Table, fields: list[str]) -> Iterator[pa.RecordBatch]:
+        if self.lone:
+            yield self._batch([x[0] for x in self.lone], [x[1] for x in self.lone], [x[2] for x in self.lone], [x[3] for x in self.lone], None)
+        if self.both:
+            blocks, at, i, j = zip(*self.both, strict=True)
+            i, j = pa.array(np.concatenate(i)), pa.array(np.concatenate(j))
+            differ = np.stack([_differ(rows.column(f).take(i).combine_chunks(), rows.column(f).take(j).combine_chunks()) for f in fields])
+            any_ = differ.any(axis=0)
+            parts = np.split(any_, np.cumsum([len(x) for x in at])[:-1])
+            names = np.array([f[2:] for f in fields], object)
+            named = [names[d].tolist() for d in differ.T[any_]]
+            yield self._batch(blocks, [b.no for b in blocks], [x[keep] for x, keep in zip(at, parts, strict=True)], ["changed"] * len(blocks), named)
+
+    @staticmethod
+    def _batch(blocks, nos: list[int], at: list[np.ndarray], changes: list[str], named: list | None) -> pa.RecordBatch:
+        which = pa.array(np.repeat(np.arange(len(at)), [len(x) for x in at]))
+        spread = lambda values, kind: pa.array(values, kind).take(which)
+        ordinal = spread([b.block * SPAN for b in blocks], pa.int64()).to_numpy() + np.concatenate(at)
+        columns = [spread([b.entity for b in blocks], pa.string()), spread(nos, pa.int64()), pa.array(ordinal, pa.int64()), spread(changes, pa.string())]
+        return pa.RecordBatch.from_arrays([*columns, pa.nulls(len(ordinal), FOUND.field("fields").type) if named is None else pa.array(named, FOUND.field("fields").type)], schema=FOUND)
+
+
+def _stretches(rows: pa.Table) -> tuple[pa.Table, list[_Block]]:
+    """The rows without those whose ordinal a snapshot has already (the first is the latest), and
+    the stretch of each (block, entity, snapshot)."""
+    entity = rows.column("entity").combine_chunks().dictionary_encode(null_encoding="encode")
+    code, names = entity.indices.to_numpy(), entity.dictionary.to_pylist()
+    block, no, ordinal = (rows.column(c).to_numpy() for c in ("block", "no", "ordinal"))
+    new = np.r_[True, (block[1:] != block[:-1]) | (no[1:] != no[:-1]) | (code[1:] != code[:-1])]
+    first = new | np.r_[True, ordinal[1:] != ordinal[:-1]]
+    if not first.all():
+        rows, new, block, no, ordinal, code = rows.filter(pa.array(first)), *(x[first] for x in (new, block, no, ordinal, code))
+    starts = np.flatnonzero(new)
+    ends = np.append(starts[1:], len(new))
+    prev, nxt = (rows.column(c).take(pa.array(starts)).to_pylist() for c in ("prev", "next"))
+    at = ordinal - block * SPAN
+    return rows, [_Block(int(block[s]), names[code[s]], int(no[s]), p, n, at[s:e], Bitmap.of(at[s:e]), int(s)) for s, e, p, n in zip(starts, ends, prev, nxt, strict=True)]
 
 
 def _stream(batches: Iterator[pa.RecordBatch], fields: list[str]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (block, entity, snapshot, ordinal)."""
-    names = [f[2:] for f in fields]
-    old: _Block | None = None
-    found: list[Found] = []
-    for (block, entity, no, prev, nxt), rows in _groups(batches):
-        new = _Block((block, entity), no, prev, nxt, rows, fields)
-        if old is not None and old.where == new.where and old.next == no:
-            found.extend(_changes(old, new, no, names))
-        else:  # the keys of a block may all be missing from a snapshot
-            if old is not None and old.next is not None:
-                found.extend(_changes(old, None, old.next, names))
-            if prev is not None:
-                found.extend(_changes(None, new, no, names))
-        old = new
-        if sum(len(x[2]) for x in found[-1000:]) > 10_000 or len(found) > 1000:
-            yield _batch(found)
-            found = []
-    if old is not None and old.next is not None:
-        found.extend(_changes(old, None, old.next, names))
-    yield _batch(found)
+    """Rows sorted by (block, entity, snapshot, ordinal). From chunk to chunk the last complete
+    stretch, which has been compared already, and the one after it are carried on."""
+    kept: pa.Table | None = None
+    compared = False  # whether the first stretch of what is kept has been
+
+    def chunk(rows: pa.Table, last: bool) -> tuple[list[pa.RecordBatch], pa.Table, bool]:
+        rows, blocks = _stretches(rows)
+        changes, old = _Changes(), None
+        for i, new in enumerate(blocks if last else blocks[:-1]):
+            if old is not None and (old.block, old.entity, old.next) == (new.block, new.entity, new.no):
+                changes.add(old, new, new.no)
+            else:  # the keys of a block may all be missing from a snapshot
+                if old is not None and old.next is not None:
+                    changes.add(old, None, old.next)
+                if new.prev is not None and not (compared and i == 0):
+                    changes.add(None, new, new.no)
+            old = new
+        if last and old.next is not None:
+            changes.add(old, None, old.next)
+        return list(changes.batches(rows, fields)), rows.slice(old.row if old else 0), old is not None
+
+    for d in batches:
+        if d.num_rows:
+            new = pa.Table.from_batches([d])
+            out, kept, compared = chunk(new if kept is None else pa.concat_tables([kept, new]), False)
+            yield from out
+    if kept is not None:
+        yield from chunk(kept, True)[0]
+    yield pa.RecordBatch.from_pylist([], schema=FOUND)
 
 
 def _keyed(df: DataFrame, entity: str, number: str, key: dict[str, Column]) -> tuple[DataFrame, list[str]]:

@@ -84,3 +84,27 @@ def test_changes_with_a_stored_dictionary(spark):
     assert {k: new[k] for k in old} == old and sorted(new.values()) == [0, 1, 2]
     found = snapshot_changes(df, "ent", "no", key, {"v": F.col("v")}, "at", known)
     assert {(r.path, r.change) for r in found.collect()} == {("a", "removed"), ("b", "changed"), ("0", "added")}
+
+
+def test_stretches_over_batches():
+    """The stream gives the same for every way to cut its rows into batches."""
+    import pyarrow as pa
+
+    from lontar.operators.snapshots import SPAN, _stream
+
+    rnd, rows = random.Random(9), []
+    for entity in ("a", None, "b"):
+        for block in (0, 1):
+            nos = [n for n in (1, 2, 3, 5) if rnd.random() < 0.9]
+            for k, no in enumerate(nos):
+                for o in sorted(rnd.sample(range(9), rnd.randint(1, 9))):
+                    row = {"block": block, "entity": entity, "no": no, "prev": nos[k - 1] if k else None, "next": nos[k + 1] if k + 1 < len(nos) else None, "ordinal": block * SPAN + o, "f_v": rnd.choice(["x", "y", None])}
+                    rows += [row] * rnd.randint(1, 2)
+    rows.sort(key=lambda r: (r["block"], str(r["entity"]), r["no"], r["ordinal"]))
+    schema = pa.schema([("block", pa.int64()), ("entity", pa.string()), ("no", pa.int64()), ("prev", pa.int64()), ("next", pa.int64()), ("ordinal", pa.int64()), ("f_v", pa.string())])
+    seen = []
+    for size in (1, 2, 7, 50, 10_000):
+        batches = (pa.RecordBatch.from_pylist(rows[i : i + size], schema=schema) for i in range(0, len(rows), size))
+        found = [r for b in _stream(batches, ["f_v"]) for r in b.to_pylist()]
+        seen.append(sorted((str(r["entity"]), r["no"], r["ordinal"], r["change"], str(r["fields"])) for r in found))
+    assert all(x == seen[0] for x in seen) and {x[3] for x in seen[0]} == {"added", "removed", "changed"}
