@@ -6,8 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Month names and number words.
-MONTHS = {"januari": 1, "februari": 2, "maret": 3, "april": 4, "mei": 5, "juni": 6, "juli": 7, "agustus": 8, "september": 9, "oktober": 10, "november": 11, "desember": 12}
-MONTHS |= {"jan": 1, "feb": 2, "mar": 3, "apr": 4, "jun": 6, "jul": 7, "agt": 8, "ags": 8, "sep": 9, "sept": 9, "okt": 10, "nov": 11, "des": 12}
+MONTHS = {
+    "januari": 1, "jan": 1, "februari": 2, "feb": 2, "maret": 3, "mar": 3, "april": 4, "apr": 4, "mei": 5, "juni": 6, "jun": 6, "juli": 7, "jul": 7,
+    "agustus": 8, "agt": 8, "ags": 8, "september": 9, "sep": 9, "sept": 9, "oktober": 10, "okt": 10, "november": 11, "nov": 11, "desember": 12, "des": 12,
+}
 ONES = {"nol": 0, "satu": 1, "dua": 2, "tiga": 3, "empat": 4, "lima": 5, "enam": 6, "tujuh": 7, "delapan": 8, "sembilan": 9}
 TEENS = {"sepuluh": 10, "sebelas": 11, "duabelas": 12}
 MAGNITUDES = {"puluh": 10, "ratus": 100, "ribu": 1_000, "juta": 1_000_000, "miliar": 10**9, "milyar": 10**9, "triliun": 10**12}
@@ -57,7 +59,7 @@ def date(raw: Column) -> Column:
     q = r"\b(\d{1,2})[/\-.](\d{1,2})[/\-.](\d{2,4})\b"
     a, b, c = (_found(raw, q, i) for i in (1, 2, 3))
     swap = (b.cast("int") > 12) & (a.cast("int") <= 12)
-    y = F.lpad(F.when(F.length(c) == 4, c).otherwise(F.concat(F.lit("20"), c)), 4, "0")
+    y = F.when(F.length(c) == 4, c).otherwise(F.concat(F.lit("20"), c))
     numeric = F.concat_ws("-", y, F.lpad(F.when(swap, a).otherwise(b), 2, "0"), F.lpad(F.when(swap, b).otherwise(a), 2, "0"))
     budget = _found(raw, r"(?i)\bTAHUN\s+ANGGARAN\s+(\d{4})\b")
     year = _found(raw, r"(?i)\b(?:tahun|TA\.?|T\.A\.?)\s+(\d{4})\b")

@@ -13,6 +13,7 @@ dapat oleh sebagai telah harus sudah juga bila jika maka agar serta antara
 setelah sebelum atas bawah para nya yaitu yakni tersebut terhadap secara bahwa
 hal lain nomor tanggal huruf ayat angka
 """.split()
+TOC_LINE = r"(?:\.{3,}|\s{4,}|·{3,}|_{3,})\s*\d{1,4}\s*$"  # fixed value
 ROMAN = {"I": 1, "V": 5, "X": 10, "L": 50, "C": 100, "D": 500, "M": 1000}
 
 
@@ -49,8 +50,8 @@ def caps_ratio(text: Column) -> Column:
 
 
 def is_toc_line(text: Column) -> Column:
-    """A leader of dots or spaces and a page number at the end."""
-    return text.rlike(r"(?:\.{3,}|\s{3,}|…+)\s*\d{1,4}\s*$")
+    """A leader of dots, spaces or rules and a page number at the end."""
+    return F.trim(text).rlike(TOC_LINE)
 
 
 def page_label(text: Column) -> Column:

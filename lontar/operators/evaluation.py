@@ -18,10 +18,11 @@ def tree_integrity(nodes: DataFrame) -> DataFrame:
     return d.groupBy("document_key").agg(F.sum(F.col("met").isNull().cast("int")).alias("orphans"), F.sum(F.coalesce((F.col("depth") <= F.col("up")).cast("int"), F.lit(0))).alias("not_deeper"))
 
 
-def duplicate_spans(nodes: DataFrame) -> DataFrame:
-    """document_key, duplicates: nodes beyond the first with one place and text."""
-    place = F.struct(F.try_element_at("pages", F.lit(1)), F.coalesce("text_raw", F.lit("")))
-    return nodes.filter("length(text_raw) > 0").groupBy("document_key").agg((F.count("*") - F.count_distinct(place)).alias("duplicates"))
+def duplicate_spans(spans: DataFrame) -> DataFrame:
+    """document_key, duplicates: character spans (document_key, page, start, end) beyond the first that
+    are equal. A row without a span has a null start."""
+    place = F.struct("page", "start", "end")
+    return spans.filter("start is not null").groupBy("document_key").agg((F.count("*") - F.count_distinct(place)).alias("duplicates"))
 
 
 def conservation(nodes: DataFrame, documents: DataFrame) -> DataFrame:
@@ -64,12 +65,27 @@ def structure_score(reference: DataFrame, candidate: DataFrame, keys: list[str])
     return g.select(*keys, "matched", "precision", "recall", f1(F.col("precision"), F.col("recall")).alias("f1"), "parent_accuracy", "depth_accuracy")
 
 
-def review_sample(nodes: DataFrame, fraction: float = 0.05, least: int = 3, seed: str = "42") -> DataFrame:
-    """A seeded sample of each part of a document: max(least, fraction) of its nodes, by hash order."""
-    w = Window.partitionBy("document_key", "sub_document")
-    d = nodes.withColumns({"n": F.count("*").over(w), "k": F.row_number().over(w.orderBy(F.md5(F.concat(F.lit(seed), "node_id")), "node_id"))})
+BUCKET = 50_000  # rows of a part that are ordered at once
+
+
+def review_sample(nodes: DataFrame, fraction: float = 0.10, least: int = 3, seed: str = "42") -> DataFrame:
+    """A seeded sample of each part (sub_document; null or empty is one part): max(least, fraction) of its
+    nodes, those of the least hash. Hashes are counted in ordered buckets first, so that only the
+    bucket that the number cuts is sorted, however large a part is."""
+    part = F.when(F.length("sub_document") > 0, F.col("sub_document")).otherwise("unassigned")
+    order = F.md5(F.concat_ws("/", F.lit(seed), "document_key", "node_id"))
+    d = nodes.withColumns({"part": part, "order": order})
+    size = d.groupBy("part").agg(F.count("*").alias("n"))
     want = F.least(F.col("n"), F.greatest(F.lit(least), F.bround(F.col("n") * fraction).cast("long")))
-    return d.filter(F.col("k") <= want).drop("n", "k")
+    d = d.join(F.broadcast(size) if size.limit(BUCKET).count() < BUCKET else size, "part").withColumn("want", want)
+    share = F.conv(F.substring("order", 1, 8), 16, 10).cast("double") / float(1 << 32)
+    d = d.withColumn("bucket", F.floor(share * F.ceil(F.col("n") / BUCKET)).cast("int"))
+    held = d.groupBy("part", "bucket").agg(F.count("*").alias("held"))
+    w = Window.partitionBy("part").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    d = d.join(held.withColumn("before", F.coalesce(F.sum("held").over(w), F.lit(0))), ["part", "bucket"])
+    room = F.col("want") - F.col("before")
+    cut = d.filter((room > 0) & (room < F.col("held"))).withColumn("k", F.row_number().over(Window.partitionBy("part", "bucket").orderBy("order", "document_key", "node_id"))).filter(F.col("k") <= room).drop("k")
+    return d.filter(room >= F.col("held")).unionByName(cut).drop("order", "n", "want", "bucket", "held", "before")
 
 
 def review_result(rows: DataFrame) -> DataFrame:
@@ -78,10 +94,22 @@ def review_result(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count("*").alias("sampled"), F.sum(mark.isin("Y", "N").cast("int")).alias("judged"), F.sum((mark == "Y").cast("int")).alias("right")).withColumn("accuracy", F.when(F.col("judged") > 0, F.col("right") / F.col("judged")))
 
 
-def match_kind(part: Column, path: Column, label: Column, want_part: Column, want_path: Column, want_label: Column) -> Column:
-    """How a found row relates to the one expected: exact, refined (the same path with a further label), descendant."""
-    same = part.eqNullSafe(want_part)
-    return F.when(same & path.eqNullSafe(want_path) & label.eqNullSafe(want_label), "exact").when(same & path.eqNullSafe(want_path), "refined").when(same & path.startswith(F.concat(want_path, F.lit("/"))), "descendant")
+def collapsed_path(path: Column) -> Column:
+    """A path without the steps that only repeat the lettered step before them (``B/B.3/4``: ``B/4``)."""
+    steps = F.filter(F.split(path, "/"), lambda s: s != "")
+    repeats = lambda kept, s: F.coalesce(F.try_element_at(kept, F.lit(-1)).rlike(r"^\p{L}") & F.startswith(s, F.concat(F.try_element_at(kept, F.lit(-1)), F.lit("."))), F.lit(False))
+    kept = F.aggregate(steps, F.array().cast("array<string>"), lambda kept, s: F.when(repeats(kept, s), kept).otherwise(F.concat(kept, F.array(s))))
+    return F.array_join(kept, "/")
+
+
+def match_kind(part: Column, path: Column, want_part: Column, want_path: Column) -> Column:
+    """How a found row of a part relates to the one expected: exact (the same path), refined (the same
+    once collapsed), descendant (below it, collapsed or not); null parts and paths count as empty."""
+    e = F.lit("")
+    part, path, want_part, want_path = (F.coalesce(c, e) for c in (part, path, want_part, want_path))
+    short, below, named = collapsed_path(path), F.concat(want_path, F.lit("/")), want_path != ""
+    kind = F.when(path == want_path, "exact").when(named & (short == want_path), "refined").when(named & (F.startswith(path, below) | F.startswith(short, below)), "descendant")
+    return F.when(part == want_part, kind)
 
 
 def compare_runs(results: DataFrame, expected: DataFrame) -> DataFrame:

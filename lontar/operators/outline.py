@@ -7,7 +7,8 @@ are held.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -22,37 +23,47 @@ TYPES = {"chapter_word": "part", "article_word": "article", "letter_upper": "sec
 OUT = "doc string, line_no int, node_no int, parent_no int, depth int, style string, label string, node_type string, path array<string>, text string"
 
 
+class Level(NamedTuple):
+    style: str
+    label: str
+    x0: float
+    depth: int
+
+
+def _beside(level: Level, x0: float) -> bool:
+    """Whether a line stands as far in as a level that is a list."""
+    return level.style not in HEADINGS and abs(x0 - level.x0) <= INDENT
+
+
+# Where a numbered line belongs. For each rule the innermost open level that the condition holds for is
+# looked for; the rule tells whether the line is its sibling (else its child). The first rule with
+# such a level decides; a line that no rule places is outermost.
+RULES: list[tuple[Callable, Callable]] = [
+    (lambda level, new: "." in new.label and level.label == new.label.rpartition(".")[0], lambda level, new: False),
+    (lambda level, new: level.style == new.style and new.x0 <= level.x0 + INDENT, lambda level, new: True),
+    (lambda level, new: level.style in HEADINGS or new.x0 >= level.x0 - INDENT, lambda level, new: _beside(level, new.x0)),
+]
+
+
 class Nesting:
-    """Open levels of (style, depth, indent, label), outer first."""
+    """The open levels of a document, outer first."""
 
     def __init__(self):
-        self.open: list[tuple[str, int, float, str]] = []
+        self.open: list[Level] = []
 
     def place(self, style: str, label: str, x0: float) -> int:
         """The depth of a numbered line; it becomes the innermost level."""
-        keep, depth = self._rule(style, label, x0)
-        self.open[keep:] = [(style, depth, x0, label)]
+        new = Level(style, label, x0, 0)
+        placed = [] if style in TOP else ((i, level, sibling) for holds, sibling in RULES for i, level in reversed(list(enumerate(self.open))) if holds(level, new))
+        i, level, sibling = next(iter(placed), (0, None, None))
+        if level is None:
+            self.open = [new]
+            return 0
+        same = sibling(level, new)
+        depth = level.depth if same else level.depth + 1
+        self.open[i if same else i + 1 :] = [new._replace(depth=depth)]
         return depth
 
-    def _rule(self, style: str, label: str, x0: float) -> tuple[int, int]:
-        if style in TOP:
-            return 0, 0
-        levels = self.open
-        if "." in label:
-            above = label.rpartition(".")[0]
-            for i in reversed(range(len(levels))):
-                if levels[i][3] == above:
-                    return i + 1, levels[i][1] + 1
-        for i in reversed(range(len(levels))):
-            if levels[i][0] == style and x0 <= levels[i][2] + INDENT:
-                return i, levels[i][1]
-        n = len(levels)
-        while n and levels[n - 1][0] not in HEADINGS and x0 < levels[n - 1][2] - INDENT:
-            n -= 1
-        if n and levels[n - 1][0] not in HEADINGS and abs(x0 - levels[n - 1][2]) <= INDENT:
-            return n - 1, levels[n - 1][1]
-        return n, levels[n - 1][1] + 1 if n else 0
-
 
 def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     doc, nest, stack, last, n = object(), Nesting(), [], None, 0

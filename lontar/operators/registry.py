@@ -76,6 +76,10 @@ def in_scope(rows: DataFrame, keys: DataFrame | None) -> DataFrame:
     return rows if keys is None else rows.join(keys.select("document_key").distinct(), "document_key", "left_semi")
 
 
+# Fixed value: what stands for a value that is not filled in.
+PLACEHOLDER = r"\.{4,}|\[diisi|…{2,}"
+
+
 def blank(value: Column) -> Column:
-    """Null, blank or only dots."""
-    return value.isNull() | (F.trim(value) == "") | value.rlike(r"^[.…_\s]+$")
+    """Null, blank, or with a placeholder anywhere."""
+    return value.isNull() | (F.trim(value) == "") | value.rlike(PLACEHOLDER)

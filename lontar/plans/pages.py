@@ -9,45 +9,48 @@ from pyspark.sql.window import Window
 from lontar.functions.numbering import numbering
 from lontar.operators import evaluation, layout, outline, segments
 from lontar.plans.texts import N, documents, nodes
+from lontar.stage import Stages
 
 
-def geometry(spark, sf_dir, two_columns: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Words and pages of the documents: a page each, a line every 14 points, 5 points a character.
-    ``two_columns`` moves every other word of a line to the right half."""
+def geometry(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Words and pages of the documents, two pages each, a line every 14 points. On page 1 a character
+    takes 5 points; page 2 has two columns: every other word of a line stands in the right one."""
     d = documents(spark, sf_dir).filter("length(text) > 0").select(F.col("doc_id").alias("doc"), F.posexplode(F.split(F.regexp_replace("text", "\r\n?", "\n"), "\n")).alias("i", "line"))
-    w = d.select("doc", "i", F.posexplode(F.split("line", " ")).alias("k", "text"), F.split("line", " ").alias("all_of"))
-    before = F.aggregate(F.slice("all_of", F.lit(1), F.col("k")), F.lit(0), lambda a, x: a + F.length(x) + 1)
-    shift = F.when(F.col("k") % 2 == 1, 260).otherwise(0) if two_columns else F.lit(0)
-    x0 = F.lit(72) + before * (F.lit(0) if two_columns else F.lit(5)) + shift + (F.floor(F.col("k") / 2) * 20 if two_columns else F.lit(0))
-    top = (F.lit(72) + F.col("i") * 14).cast("double")
-    words = w.withColumns({"x0": x0.cast("double"), "top": top}).filter("length(text) > 0")
-    words = words.select("doc", F.lit(1).alias("page"), (F.col("i") * 100_000 + F.col("k")).alias("idx"), "text", "x0", "top", (F.col("x0") + F.length("text") * 5).alias("x1"), (F.col("top") + 12).alias("bottom"), F.lit(10.0).alias("size"), F.col("text").rlike("^[A-Z]{3,}$").alias("bold"))
-    pages = documents(spark, sf_dir).select(F.col("doc_id").alias("doc"), F.lit(1).alias("page"), F.lit(595.0).alias("width"), F.length(F.coalesce("text", F.lit(""))).alias("char_count"), F.pmod("doc_id", F.lit(25)).cast("int").alias("ruling_line_count"), F.array(F.lit("F1")).alias("fonts"), F.lit(0.0).alias("image_coverage"))
+    w = d.select("doc", "i", F.split("line", " ").alias("all_of"))
+    # where each word begins, from one pass over its line
+    starts = F.aggregate("all_of", F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + F.length(x) + 1)))
+    w = w.select("doc", "i", F.posexplode(F.arrays_zip(F.col("all_of").alias("text"), F.slice(starts, 1, F.size("all_of")).alias("before"))).alias("k", "z"))
+    w = w.select("doc", "i", "k", "z.text", "z.before", F.explode(F.array(F.lit(1), F.lit(2))).alias("page")).filter("length(text) > 0")
+    columns = F.lit(72) + F.when(F.col("k") % 2 == 1, 260).otherwise(0) + F.floor(F.col("k") / 2) * 20
+    x0 = F.when(F.col("page") == 1, F.lit(72) + F.col("before") * 5).otherwise(columns).cast("double")
+    words = w.withColumns({"x0": x0, "top": (F.lit(72) + F.col("i") * 14).cast("double")})
+    words = words.select("doc", "page", (F.col("i") * 100_000 + F.col("k")).alias("idx"), "text", "x0", "top", (F.col("x0") + F.length("text") * 5).alias("x1"), (F.col("top") + 12).alias("bottom"), F.lit(10.0).alias("size"), F.col("text").rlike("^[A-Z]{3,}$").alias("bold"))
+    pages = documents(spark, sf_dir).select(F.col("doc_id").alias("doc"), F.explode(F.array(F.lit(1), F.lit(2))).alias("page"), F.lit(595.0).alias("width"), F.length(F.coalesce("text", F.lit(""))).alias("char_count"), F.pmod("doc_id", F.lit(25)).cast("int").alias("ruling_line_count"), F.array(F.lit("F1")).alias("fonts"), F.lit(0.0).alias("image_coverage"))
     return words, pages
 
 
 def page_routes(spark, sf_dir):
-    return layout.route(geometry(spark, sf_dir)[1]).select(F.col("doc").alias("doc_id"), "method")
+    return layout.route(geometry(spark, sf_dir)[1]).select(F.col("doc").alias("doc_id"), "page", "method")
 
 
 def page_lines(spark, sf_dir):
-    return layout.lines(geometry(spark, sf_dir)[0]).groupBy(F.col("doc").alias("doc_id"), "line").agg(F.count("*").alias("n_words"), F.min("top").alias("top"))
+    return layout.lines(geometry(spark, sf_dir)[0]).groupBy(F.col("doc").alias("doc_id"), "page", "line").agg(F.count("*").alias("n_words"), F.min("top").alias("top"))
 
 
 def page_layouts(spark, sf_dir):
     words, pages = geometry(spark, sf_dir)
-    return layout.layout(words, pages, parallel=False).select(F.col("doc").alias("doc_id"), "layout_type", F.round("column_boundary", 6).alias("column_boundary"), "column_role")
+    return layout.layout(words, pages).select(F.col("doc").alias("doc_id"), "page", "layout_type", F.round("column_boundary", 6).alias("column_boundary"), "column_role")
 
 
 def page_corridors(spark, sf_dir):
-    words, pages = geometry(spark, sf_dir, two_columns=True)
-    return layout.corridors(words, pages).select(F.col("doc").alias("doc_id"), F.round("centre", 6).alias("centre"), F.round("left_share", 6).alias("left_share"), F.round("right_share", 6).alias("right_share"))
+    words, pages = geometry(spark, sf_dir)
+    return layout.corridors(words, pages).select(F.col("doc").alias("doc_id"), "page", F.round("centre", 6).alias("centre"), F.round("left_share", 6).alias("left_share"), F.round("right_share", 6).alias("right_share"))
 
 
 def page_blocks(spark, sf_dir):
     words, pages = geometry(spark, sf_dir)
-    found = layout.layout(words, pages, parallel=False)
-    return layout.blocks(words, pages, found).select(F.col("doc").alias("doc_id"), "block_idx", "column_index", "text", "x0", "top")
+    words = Stages(spark, "blocks").write(words, "words")
+    return layout.blocks(words, pages, layout.layout(words, pages)).select(F.col("doc").alias("doc_id"), "page", "block_idx", "column_index", "text", "x0", "top")
 
 
 def _numbered(spark, sf_dir):
@@ -76,13 +79,26 @@ def document_parts(spark, sf_dir):
 
 
 def contents_runs(spark, sf_dir):
-    d = nodes(spark, sf_dir).filter("length(text_raw) > 0").select(F.col("document_key").alias("doc"), F.row_number().over(Window.partitionBy("document_key").orderBy("reading_order", "node_id")).alias("line_no"), F.col("text_raw").alias("text"))
-    return segments.contents_runs(d)
+    """Contents runs on the contents page of each document: its title and a line for each article that
+    its outline names, with a leader and a number."""
+    d = nodes(spark, sf_dir).filter("node_type in ('article', 'part') and label is not null")
+    entry = F.concat("label", F.when(F.pmod(F.length("node_id") + F.coalesce("reading_order", F.lit(0)), F.lit(5)) == 0, F.lit(" tanpa halaman")).otherwise(F.concat(F.lit(" ........ "), F.coalesce("reading_order", F.lit(1)).cast("string"))))
+    lines = d.select(F.col("document_key").alias("doc"), F.row_number().over(Window.partitionBy("document_key").orderBy("reading_order", "node_id")).alias("line_no"), entry.alias("text"))
+    titles = d.select(F.col("document_key").alias("doc")).distinct().select("doc", F.lit(0).alias("line_no"), F.lit("DAFTAR ISI").alias("text"))
+    return segments.contents_runs(lines.unionByName(titles))
 
 
 def line_headings(spark, sf_dir):
-    d = segments.headings(_lines(spark, sf_dir)).filter("is_heading")
-    return d.select(F.col("doc").alias("doc_id"), "line_no", "score")
+    """Headings among the lines of documents; a character takes 5 points, capitals are bold and larger."""
+    d = _lines(spark, sf_dir).filter("trim(text) <> ''")
+    caps = F.col("text").rlike("^[A-Z ]+$")
+    indent = F.length("text") - F.length(F.ltrim("text"))
+    x0 = F.when(caps, F.lit(595 / 2) - F.length("text") * 2.5).otherwise(F.lit(72) + indent * 5).cast("double")
+    top = (F.lit(72) + F.col("line_no") * 14).cast("double")
+    blocks = d.select("doc", F.lit(1).alias("page"), F.col("line_no").alias("block"), "text", x0.alias("x0"), (x0 + F.length("text") * 5).cast("double").alias("x1"), top.alias("top"), (top + 12).alias("bottom"), F.when(caps, 14.0).otherwise(10.0).alias("size"), caps.alias("bold"))
+    pages = d.select("doc").distinct().select("doc", F.lit(1).alias("page"), F.lit(595.0).alias("width"), F.lit(12.0).alias("line_height"))
+    found = segments.headings(blocks, pages).filter("score > 0")
+    return found.select(F.col("doc").alias("doc_id"), F.col("block").alias("line_no"), "score", "is_heading", "is_division")
 
 
 def quality_tree(spark, sf_dir):
@@ -90,7 +106,15 @@ def quality_tree(spark, sf_dir):
 
 
 def quality_duplicates(spark, sf_dir):
-    return evaluation.duplicate_spans(nodes(spark, sf_dir))
+    """Equal spans among the nodes of a document: the page of a node and where its text stands among the
+    texts of that page, counted in reading order; redelivered rows have the span of the first."""
+    rows = spark.read.parquet(f"{sf_dir}/tree_nodes.parquet").filter("length(text_raw) > 0").select("document_key", "node_id", F.try_element_at("pages", F.lit(1)).alias("page"), "reading_order", "text_raw")
+    w = Window.partitionBy("document_key", "page").orderBy("reading_order", "node_id")
+    first = rows.groupBy("document_key", "page", "reading_order", "node_id").agg(F.max(F.length("text_raw")).alias("n"))
+    placed = first.withColumn("start", F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    on = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ("document_key", "page", "reading_order", "node_id")]
+    spans = rows.alias("a").join(placed.alias("b"), on).select("a.document_key", "a.page", "b.start", (F.col("b.start") + F.length("a.text_raw")).alias("end"))
+    return evaluation.duplicate_spans(spans)
 
 
 def quality_conservation(spark, sf_dir):
@@ -119,7 +143,7 @@ def structure_scores(spark, sf_dir):
 
 
 def review_samples(spark, sf_dir):
-    return evaluation.review_sample(nodes(spark, sf_dir)).select("document_key", "sub_document", "node_id")
+    return evaluation.review_sample(nodes(spark, sf_dir)).select("part", "document_key", "node_id")
 
 
 def fuzzy_names(spark, sf_dir):
@@ -134,18 +158,33 @@ w AS (SELECT doc_id, i, unnest(range(len(ws))) AS k, unnest(ws) AS text, ws FROM
 _PLACED = _WORDS + """, p AS (SELECT doc_id, i, k, text, (72 + 14 * i)::DOUBLE AS top, (72 + 5 * coalesce(list_sum(list_transform(ws[1:k], lambda x: length(x) + 1)), 0))::DOUBLE AS x0 FROM w WHERE length(text) > 0)"""
 
 SQL = {
-    "page_routes": "SELECT doc_id, CASE WHEN length(coalesce(text, '')) > 50 THEN 'native' ELSE 'hybrid_review' END AS method FROM documents",
-    "page_lines": f"WITH {_WORDS} SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS line, n_words, top FROM (SELECT doc_id, i, count(*) AS n_words, (72 + 14 * i)::DOUBLE AS top FROM w WHERE length(text) > 0 GROUP BY ALL)",
-    "page_blocks": f"""WITH {_PLACED} SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS block_idx, 0::INT AS column_index, text, x0, top
-FROM (SELECT doc_id, i, string_agg(text, ' ' ORDER BY k) AS text, min(x0) AS x0, min(top) AS top FROM p GROUP BY ALL)""",
+    "page_routes": "SELECT doc_id, unnest([1, 2])::INT AS page, CASE WHEN length(coalesce(text, '')) > 50 THEN 'native' ELSE 'hybrid_review' END AS method FROM documents",
+    "page_lines": f"WITH {_WORDS} SELECT doc_id, unnest([1, 2])::INT AS page, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS line, n_words, top FROM (SELECT doc_id, i, count(*) AS n_words, (72 + 14 * i)::DOUBLE AS top FROM w WHERE length(text) > 0 GROUP BY ALL)",
     "document_parts": r"""WITH l AS (SELECT doc_id, unnest(range(len(ls)))::INT AS line_no, unnest(ls) AS line FROM (SELECT doc_id, string_split(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(10)) AS ls FROM documents WHERE length(text) > 0)),
-m AS (SELECT *, CASE WHEN regexp_matches(line, '(?:\.{3,}|\s{3,}|…+)\s*\d{1,4}\s*$') THEN NULL WHEN regexp_matches(line, '(?i)^\s*(?:surat )?perjanjian\b|^\s*agreement\b') THEN 'agreement' WHEN regexp_matches(line, '(?i)^\s*pasal \d+') THEN 'articles' WHEN regexp_matches(line, '(?i)^\s*(?:ditandatangani|signed at)\b') THEN 'closing' END AS met FROM l),
+m AS (SELECT *, CASE WHEN regexp_matches(trim(line), '(?:\.{3,}|\s{4,}|·{3,}|_{3,})\s*\d{1,4}\s*$') THEN NULL WHEN regexp_matches(line, '(?i)^\s*(?:surat )?perjanjian\b|^\s*agreement\b') THEN 'agreement' WHEN regexp_matches(line, '(?i)^\s*pasal \d+') THEN 'articles' WHEN regexp_matches(line, '(?i)^\s*(?:ditandatangani|signed at)\b') THEN 'closing' END AS met FROM l),
 f AS (SELECT doc_id, line_no, CASE WHEN row_number() OVER (PARTITION BY doc_id, met ORDER BY line_no) = 1 THEN met END AS met FROM m),
 p AS (SELECT doc_id, line_no, coalesce(last_value(met IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no ROWS UNBOUNDED PRECEDING), '') AS part FROM f)
 SELECT doc_id, part, count(*) AS n_lines, min(line_no) AS first_line FROM p GROUP BY ALL""",
     "quality_tree": f"""WITH {N} SELECT a.document_key, sum((b.node_id IS NULL)::INT)::BIGINT AS orphans, coalesce(sum((a.depth <= b.depth)::INT), 0)::BIGINT AS not_deeper
 FROM nodes a LEFT JOIN nodes b ON a.document_key = b.document_key AND a.parent_id = b.node_id WHERE a.parent_id <> '' GROUP BY 1""",
-    "quality_duplicates": f"WITH {N} SELECT document_key, count(*) - count(DISTINCT (coalesce(pages[1], -1), text_raw)) AS duplicates FROM nodes WHERE length(text_raw) > 0 GROUP BY 1",
+    "quality_duplicates": """WITH r AS (SELECT document_key, node_id, pages[1] AS page, reading_order, text_raw FROM tree_nodes WHERE length(text_raw) > 0),
+f AS (SELECT document_key, page, reading_order, node_id, max(length(text_raw)) AS n FROM r GROUP BY ALL),
+p AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY document_key, page ORDER BY reading_order NULLS FIRST, node_id NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM f)
+SELECT r.document_key, count(*) - count(DISTINCT (coalesce(r.page, -1), s, s + length(text_raw))) AS duplicates
+FROM r JOIN p ON r.document_key IS NOT DISTINCT FROM p.document_key AND r.page IS NOT DISTINCT FROM p.page AND r.reading_order IS NOT DISTINCT FROM p.reading_order AND r.node_id IS NOT DISTINCT FROM p.node_id GROUP BY 1""",
+    "contents_runs": f"""WITH {N}, d AS (SELECT document_key AS doc, row_number() OVER (PARTITION BY document_key ORDER BY reading_order NULLS FIRST, node_id) AS line_no, (length(node_id) + coalesce(reading_order, 0)) % 5 <> 0 AS toc FROM nodes WHERE node_type IN ('article', 'part') AND label IS NOT NULL),
+l AS (SELECT doc, line_no, toc, FALSE AS title FROM d UNION ALL SELECT DISTINCT doc, 0, TRUE, TRUE FROM d),
+g AS (SELECT *, line_no - row_number() OVER (PARTITION BY doc, toc ORDER BY line_no) AS run FROM l)
+SELECT doc, min(line_no)::INT AS first_line, max(line_no)::INT AS last_line, count(*) AS n FROM g WHERE toc GROUP BY doc, run HAVING count(*) >= 3 OR (bool_or(title) AND count(*) >= 2)""",
+    "line_headings": rf"""WITH l AS (SELECT doc_id, unnest(range(len(ls)))::INT AS line_no, unnest(ls) AS raw FROM (SELECT doc_id, string_split(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(10)) AS ls FROM documents WHERE length(text) > 0)),
+b AS (SELECT doc_id, line_no, trim(raw, ' ') AS t, regexp_matches(raw, '^[A-Z ]+$') AS caps, length(raw) AS n, 72 + 14 * line_no AS top, CASE WHEN regexp_matches(raw, '^[A-Z ]+$') THEN 297.5 - length(raw) * 2.5 ELSE 72 + (length(raw) - length(ltrim(raw, ' '))) * 5 END AS x0 FROM l WHERE trim(raw, ' ') <> ''),
+p AS (SELECT *, x0 + n * 5 AS x1, lag(t) OVER w AS before, top - (lag(top) OVER w + 12) AS gap, CASE WHEN caps THEN 14 ELSE 10 END AS size, len(string_split_regex(t, '\s+')) AS words, length(regexp_replace(t, '[^\p{{L}}]', '', 'g')) AS letters, length(regexp_replace(t, '[^\p{{Lu}}]', '', 'g')) AS upper FROM b WINDOW w AS (PARTITION BY doc_id ORDER BY line_no)),
+m AS (SELECT doc_id, list_sort(list(size))[count(*) // 2 + 1] AS font, list_sort(list(x0))[count(*) // 2 + 1] AS body FROM p GROUP BY 1),
+s AS (SELECT doc_id, line_no, words, regexp_matches(t, '[;,]$') OR (words > 12 AND NOT regexp_matches(t, '[.!?;]$')) OR regexp_matches(t, '^\p{{L}}[\p{{L}}\p{{N}}_\s./-]{{0,30}}:\s*\S') OR (regexp_matches(t, '[.!?]$') AND words >= 6) OR (regexp_matches(t, ':$') AND words >= 4) AS veto,
+  CASE WHEN letters >= 4 AND upper / letters >= 0.9 THEN 0.3 ELSE 0 END AS c1, CASE WHEN abs((x0 + x1) / 2 - 297.5) <= 0.06 * 595 AND x1 - x0 <= 0.7 * 595 AND x0 > body + 1 THEN 0.15 ELSE 0 END AS c2, CASE WHEN size >= 1.15 * font THEN 0.15 ELSE 0 END AS c3, CASE WHEN caps THEN 0.1 ELSE 0 END AS c4,
+  CASE WHEN words <= 12 THEN 0.2 ELSE 0 END + CASE WHEN gap >= 1.2 * 12 THEN 0.2 ELSE 0 END + CASE WHEN before IS NULL OR regexp_matches(before, '[.!?;]\s*$') THEN 0.15 ELSE 0 END + CASE WHEN NOT regexp_matches(t, '[.!?]$') THEN 0.15 ELSE 0 END AS rest FROM p JOIN m USING (doc_id)),
+r AS (SELECT *, round((c1 + c2 + c3 + c4 + rest)::DOUBLE, 4) AS score FROM s WHERE NOT veto)
+SELECT doc_id, line_no, score, score >= 0.6 AND c1 + c2 + c3 + c4 > 0 AS is_heading, score >= 0.75 AND words >= 2 AS is_division FROM r WHERE score > 0""",
     "quality_conservation": f"""WITH {N}, a AS (SELECT document_key, sum(length(coalesce(text_raw, '')))::BIGINT AS node_chars FROM nodes GROUP BY 1)
 SELECT document_key, node_chars, length(coalesce(text, ''))::BIGINT AS document_chars, round(node_chars / nullif(length(coalesce(text, '')), 0), 6) AS ratio FROM a JOIN documents USING (document_key)""",
     "quality_identifiers": "SELECT doc_id, coalesce(contains(text, contract_number), FALSE) AS kept FROM documents WHERE length(contract_number) > 0",
@@ -159,6 +198,7 @@ m AS (SELECT coalesce(x.specimen, y.specimen) AS specimen, x.specimen IS NOT NUL
 g AS (SELECT specimen, sum(both_::INT)::BIGINT AS matched, sum(ia::INT) AS na, sum(ib::INT) AS nb, sum((both_ AND sp)::INT) AS p, sum((both_ AND sd)::INT) AS d FROM m GROUP BY 1),
 f AS (SELECT specimen, matched, matched / nb AS precision, matched / na AS recall, coalesce(p / nullif(matched, 0), 0) AS pa, coalesce(d / nullif(matched, 0), 0) AS da FROM g)
 SELECT specimen, matched, round(precision, 6) AS precision, round(recall, 6) AS recall, round(CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END, 6) AS f1, round(pa, 6) AS parent_accuracy, round(da, 6) AS depth_accuracy FROM f""",
-    "review_samples": f"""WITH {N}, d AS (SELECT document_key, sub_document, node_id, count(*) OVER w AS n, row_number() OVER (w ORDER BY md5('42' || node_id), node_id) AS k FROM nodes WINDOW w AS (PARTITION BY document_key, sub_document))
-SELECT document_key, sub_document, node_id FROM d WHERE k <= least(n, greatest(3, round_even(n * 0.05, 0)))""",
+    "review_samples": f"""WITH {N}, d AS (SELECT coalesce(nullif(sub_document, ''), 'unassigned') AS part, document_key, node_id, md5(concat_ws('/', '42', document_key, node_id)) AS h FROM nodes),
+k AS (SELECT *, count(*) OVER (PARTITION BY part) AS n, row_number() OVER (PARTITION BY part ORDER BY h, document_key, node_id) AS k FROM d)
+SELECT part, document_key, node_id FROM k WHERE k <= least(n, greatest(3, round_even(n * 0.10, 0)))""",
 }

@@ -48,7 +48,7 @@ def normalize_tokens(spark, sf_dir):
 
 def text_names(spark, sf_dir):
     d = documents(spark, sf_dir)
-    return d.select("doc_id", plain_name(stem(F.col("filename"))).alias("name"), skeleton(F.coalesce("contract_number", F.lit(""))).alias("skeleton"), squash(F.coalesce("contract_name", F.lit(""))).alias("title"), F.round(caps_ratio(F.regexp_replace(F.coalesce("contract_name", F.lit("")), "[^A-Za-z]", "")), 6).alias("caps"))
+    return d.select("doc_id", plain_name(stem(F.col("filename"))).alias("name"), skeleton(F.coalesce("contract_number", F.lit(""))).alias("skeleton"), squash(F.coalesce("contract_name", F.lit(""))).alias("title"), F.round(caps_ratio(F.coalesce("contract_name", F.lit(""))), 6).alias("caps"))
 
 
 def numbering_labels(spark, sf_dir):
@@ -131,21 +131,23 @@ ROMANS = """romans AS (SELECT v, [' ', 'M', 'MM', 'MMM'][v // 1000 + 1].trim() |
   || ['', 'X', 'XX', 'XXX', 'XL', 'L', 'LX', 'LXX', 'LXXX', 'XC'][(v // 10) % 10 + 1] || ['', 'I', 'II', 'III', 'IV', 'V', 'VI', 'VII', 'VIII', 'IX'][v % 10 + 1] AS r FROM range(1, 4000) t(v))"""
 
 SQL = {
-    "normalize_amounts": rf"""WITH {N}, r AS (SELECT document_key, node_id, regexp_replace(regexp_extract(regexp_extract(text_raw, '(?:Rp|IDR)\s+[\d.,]+'), '\d[\d.,]*'), '[.,]+$', '') AS t FROM nodes WHERE regexp_matches(text_raw, '(?:Rp|IDR)\s+[\d.,]+'))
-SELECT document_key, node_id, TRY_CAST(replace(regexp_replace(t, ',[^,]*$', ''), '.', '') || CASE WHEN contains(t, ',') THEN '.' || regexp_extract(t, ',([^,]*)$', 1) ELSE '' END AS DOUBLE) AS amount FROM r""",
-    "normalize_dates": rf"""WITH {N}, r AS (SELECT document_key, node_id, text_raw, regexp_extract(text_raw, '\b(\d{{1,2}})\s+([A-Za-zé]+)\s+(\d{{4}})\b', ['d', 'm', 'y']) AS a, regexp_extract(text_raw, '\b(\d{{1,2}})[/\-.](\d{{1,2}})[/\-.](\d{{2,4}})\b', ['p', 'q', 'y']) AS b,
-  regexp_extract(text_raw, '(?i)\bTAHUN\s+ANGGARAN\s+(\d{{4}})\b', 1) AS c, regexp_extract(text_raw, '(?i)\b(?:tahun|TA\.?|T\.A\.?)\s+(\d{{4}})\b', 1) AS e FROM nodes),
+    "normalize_amounts": rf"""WITH {N}, e AS (SELECT document_key, node_id, unnest(range(len(rs)))::INT AS position, unnest(rs) AS raw FROM (SELECT document_key, node_id, regexp_extract_all(text_raw, '(?:Rp|IDR)\s+[\d.,]+') AS rs FROM nodes)),
+r AS (SELECT document_key, node_id, position, regexp_replace(regexp_extract(raw, '\d[\d.,]*'), '[.,]+$', '') AS t FROM e)
+SELECT document_key, node_id, position, TRY_CAST(replace(regexp_replace(t, ',[^,]*$', ''), '.', '') || CASE WHEN contains(t, ',') THEN '.' || regexp_extract(t, ',([^,]*)$', 1) ELSE '' END AS DOUBLE) AS amount FROM r""",
+    "normalize_dates": rf"""WITH {N}, w AS (SELECT document_key, node_id, unnest(range(len(rs)))::INT AS position, unnest(rs) AS raw FROM (SELECT document_key, node_id, regexp_extract_all(text_raw, '{normalize.DATE}') AS rs FROM nodes)),
+r AS (SELECT document_key, node_id, position, regexp_extract(raw, '\b(\d{{1,2}})\s+([A-Za-zé]+)\s+(\d{{4}})\b', ['d', 'm', 'y']) AS a, regexp_extract(raw, '\b(\d{{1,2}})[/\-.](\d{{1,2}})[/\-.](\d{{2,4}})\b', ['p', 'q', 'y']) AS b,
+  regexp_extract(raw, '(?i)\bTAHUN\s+ANGGARAN\s+(\d{{4}})\b', 1) AS c, regexp_extract(raw, '(?i)\b(?:tahun|TA\.?|T\.A\.?)\s+(\d{{4}})\b', 1) AS e FROM w),
 s AS (SELECT *, {_MONTHS}[lower(a.m)] AS mon, TRY_CAST(b.q AS INT) > 12 AND TRY_CAST(b.p AS INT) <= 12 AS sw, TRY_CAST(e AS INT) BETWEEN 1900 AND 2100 AS ok FROM r)
-SELECT document_key, node_id, CASE WHEN mon IS NOT NULL THEN a.y || '-' || lpad(mon::VARCHAR, 2, '0') || '-' || lpad(a.d, 2, '0')
-  WHEN b.p <> '' THEN lpad(CASE WHEN length(b.y) = 4 THEN b.y ELSE '20' || b.y END, 4, '0') || '-' || lpad(CASE WHEN sw THEN b.p ELSE b.q END, 2, '0') || '-' || lpad(CASE WHEN sw THEN b.q ELSE b.p END, 2, '0')
+SELECT document_key, node_id, position, CASE WHEN mon IS NOT NULL THEN a.y || '-' || lpad(mon::VARCHAR, 2, '0') || '-' || lpad(a.d, 2, '0')
+  WHEN b.p <> '' THEN CASE WHEN length(b.y) = 4 THEN b.y ELSE '20' || b.y END || '-' || lpad(CASE WHEN sw THEN b.p ELSE b.q END, 2, '0') || '-' || lpad(CASE WHEN sw THEN b.q ELSE b.p END, 2, '0')
   WHEN c <> '' THEN c ELSE e END AS date, CASE WHEN mon IS NOT NULL OR b.p <> '' THEN 'day' ELSE 'year' END AS precision FROM s WHERE mon IS NOT NULL OR b.p <> '' OR c <> '' OR ok""",
     "normalize_rates": """SELECT l_orderkey, l_linenumber, form::INT AS form, round(CASE form WHEN 0 THEN round(l_discount * 1000) / 1000 WHEN 1 THEN round(l_discount * 100) / 100 ELSE round(l_tax * 100) / 100 END, 6) AS rate FROM lineitem, range(3) t(form)""",
     "normalize_tokens": r"""WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[0-9]+(?:\.[0-9]+)+|[\p{L}\p{N}_]+')) AS token FROM documents)
-SELECT token, count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM t WHERE regexp_matches(token, '^[a-z0-9.]+$') AND token NOT IN ("""
+SELECT token, count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM t WHERE token NOT IN ("""
     + ", ".join(f"'{w}'" for w in STOPWORDS)
     + ") GROUP BY token",
     "text_names": r"""SELECT doc_id, regexp_replace(lower(regexp_replace(coalesce(filename, ''), '^(.+)\.[^.]*$', '\1')), '[^a-z0-9]', '', 'g') AS name, regexp_replace(coalesce(contract_number, ''), '[^\p{L}\p{N}]', '', 'g') AS skeleton,
-  trim(regexp_replace(coalesce(contract_name, ''), '\s+', ' ', 'g')) AS title, round(coalesce(length(regexp_replace(contract_name, '[^A-Z]', '', 'g')) / nullif(length(regexp_replace(contract_name, '[^A-Za-z]', '', 'g')), 0), 0), 6) AS caps FROM documents""",
+  trim(regexp_replace(coalesce(contract_name, ''), '\s+', ' ', 'g')) AS title, round(coalesce(length(regexp_replace(contract_name, '[^\p{Lu}]', '', 'g')) / nullif(length(regexp_replace(contract_name, '[^\p{L}]', '', 'g')), 0), 0), 6) AS caps FROM documents""",
     "numbering_labels": rf"""WITH {ROMANS}, l AS (SELECT doc_id, unnest(range(len(ls)))::INT AS line_no, unnest(ls) AS line FROM (SELECT doc_id, string_split(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(10)) AS ls FROM documents)),
 s AS (SELECT *, {_STYLE} FROM l), m AS (SELECT *, {_LABEL} FROM s WHERE style IS NOT NULL)
 SELECT doc_id, line_no, style, CASE WHEN style IN ('chapter_word', 'article_word', 'letter_dotted') THEN upper(label) WHEN style IN ('bullet', 'decimal_dotted') THEN label ELSE lower(label) END AS label_normalized,

@@ -63,6 +63,11 @@ def few(df: DataFrame, rows: int = FEW) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def beside(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """The columns of a table of one row at every row of ``df``."""
+    return df.withColumn("_one", F.lit(1)).join(F.broadcast(one_row.withColumn("_one", F.lit(1))), "_one").drop("_one")
+
+
 class Stages:
     """Tables written by one run of an operator, each under a name of its own. They stay until
     the driver ends, as results read them lazily, or until :func:`sweep`."""
