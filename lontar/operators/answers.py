@@ -89,6 +89,11 @@ def path_steps(path: Column) -> Column:
     return F.transform(F.filter(plain, lambda s: F.trim(s) != ""), step)
 
 
+def path_values(path: Column) -> Column:
+    """The values of a path alone."""
+    return F.transform(path_steps(path), lambda x: x["value"])
+
+
 def match_tier(steps: Column, address: Address) -> Column:
     """How a path (see :func:`path_steps`) that ends in an address fits: 0 where the level words that
     both name agree, 1 where only the values do, null where it does not end so. Of the forms of the

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lontar.stage import Stages
+
 # Thresholds of the layout rules, in points or parts of the page width.
 LINE_HEIGHT = 12.0
 LINE_TOLERANCE = 0.25
@@ -44,14 +46,24 @@ def lines(words: DataFrame) -> DataFrame:
     return d.withColumn("line", F.sum("starts").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("before", "starts", "height")
 
 
+def placed(words: DataFrame, pages: DataFrame) -> DataFrame:
+    """Words of pages that have a width, each with its line, the space to the word before it and whether
+    it begins the line. Written once, since every rule of a layout reads it."""
+    w = Window.partitionBy(*PAGE, "line").orderBy("x0", "idx")
+    d = lines(words).withColumns({"space": F.col("x0") - F.lag("x1").over(w), "begins": F.row_number().over(w) == 1})
+    d = d.join(pages.select(*PAGE, "width").filter("width > 0"), PAGE)
+    return Stages(words.sparkSession, "layout").write(d.select(*PAGE, "width", "x0", "x1", "space", "begins"), "placed")
+
+
 def corridors(words: DataFrame, pages: DataFrame) -> DataFrame:
     """doc, page, centre, left_share, right_share: the empty strip between two columns of words that
     leaves the largest smaller side; pages without one are left out."""
-    placed = lines(words).join(pages.select(*PAGE, "width"), PAGE).filter("width > 0")
+    return _corridors(placed(words, pages))
+
+
+def _corridors(placed: DataFrame) -> DataFrame:
     bin_of = lambda c: F.greatest(F.lit(0), F.least(F.lit(COVERAGE_BINS - 1), F.floor(F.col(c) / F.col("width") * COVERAGE_BINS))).cast("int")
-    w = Window.partitionBy(*PAGE, "line").orderBy("x0", "idx")
-    space = F.col("x0") - F.lag("x1").over(w)
-    gaps = placed.withColumn("space", space).groupBy(*PAGE, "width").agg(F.collect_list(F.when(F.col("space") > 0, F.col("space"))).alias("s"), F.count("*").alias("n"))
+    gaps = placed.groupBy(*PAGE, "width").agg(F.collect_list(F.when(F.col("space") > 0, F.col("space"))).alias("s"), F.count("*").alias("n"))
     spacing = gaps.select(*PAGE, "width", "n", F.when(F.size("s") > 0, upper_median(F.col("s"), 2.0)).otherwise(2.0).alias("spacing"))
     covered = placed.select(*PAGE, F.explode(F.sequence(bin_of("x0"), bin_of("x1"))).alias("bin")).groupBy(*PAGE, "bin").agg(F.count("*").alias("c"))
     grid = spacing.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(COVERAGE_BINS - 1)))).join(covered, [*PAGE, "bin"], "left")
@@ -60,7 +72,7 @@ def corridors(words: DataFrame, pages: DataFrame) -> DataFrame:
     wide = (F.col("b") - F.col("a") >= max(1, int(GAP_WIDTH * COVERAGE_BINS))) & ((F.col("b") - F.col("a")) / COVERAGE_BINS * F.col("width") >= GAP_SPACING * F.col("spacing"))
     runs = runs.filter((F.col("a") > 0) & (F.col("b") < COVERAGE_BINS) & wide).withColumn("centre", (F.col("a") + F.col("b")) / 2.0 / COVERAGE_BINS)
     split = F.col("centre") * F.col("width")
-    sided = runs.join(words.select(*PAGE, "x0", "x1"), PAGE).groupBy(*PAGE, "a", "n", "centre").agg(F.sum((F.col("x1") <= split).cast("int")).alias("l"), F.sum((F.col("x0") >= split).cast("int")).alias("r"))
+    sided = runs.join(placed.select(*PAGE, "x0", "x1"), PAGE).groupBy(*PAGE, "a", "n", "centre").agg(F.sum((F.col("x1") <= split).cast("int")).alias("l"), F.sum((F.col("x0") >= split).cast("int")).alias("r"))
     sided = sided.select(*PAGE, "a", "centre", (F.col("l") / F.col("n")).alias("left_share"), (F.col("r") / F.col("n")).alias("right_share")).withColumn("least", F.least("left_share", "right_share")).filter(F.col("least") >= SIDE)
     first = Window.partitionBy(*PAGE).orderBy(F.desc("least"), "a")
     return sided.withColumn("k", F.row_number().over(first)).filter("k = 1").select(*PAGE, "centre", "left_share", "right_share")
@@ -70,8 +82,8 @@ def layout(words: DataFrame, pages: DataFrame, parallel: bool = True) -> DataFra
     """doc, page, layout_type, column_boundary, right_column_start, column_role of every page of
     ``pages`` (doc, page, width, char_count, ruling_line_count): blank, ruled_table, two_column
     (parallel, or labels in a gutter), form, single_column."""
-    starts = lines(words).groupBy(*PAGE, "line").agg(F.min("x0").alias("x0")).join(pages.select(*PAGE, "width"), PAGE)
-    starts = starts.select(*PAGE, F.least(F.col("x0") / F.col("width"), F.lit(1.0)).alias("f")).withColumn("bin", F.least(F.lit(BINS - 1), F.floor(F.col("f") * BINS)).cast("int"))
+    words = placed(words, pages)
+    starts = words.filter("begins").select(*PAGE, F.least(F.col("x0") / F.col("width"), F.lit(1.0)).alias("f")).withColumn("bin", F.least(F.lit(BINS - 1), F.floor(F.col("f") * BINS)).cast("int"))
     bins = starts.groupBy(*PAGE, "bin").agg(F.count("*").alias("c"))
     modes = bins.withColumn("run", F.col("bin") - F.row_number().over(Window.partitionBy(*PAGE).orderBy("bin"))).groupBy(*PAGE, "run").agg((F.min("bin") / BINS).alias("a"), ((F.max("bin") + 1) / BINS).alias("b"), F.sum("c").alias("c"))
     page = Window.partitionBy(*PAGE)
@@ -80,7 +92,7 @@ def layout(words: DataFrame, pages: DataFrame, parallel: bool = True) -> DataFra
     per = modes.groupBy(*PAGE).agg(F.first("modes").alias("modes"), F.first("top.a").alias("top_a"), F.first(F.col("top.c") / F.col("n")).alias("share")).join(left, PAGE, "left")
     right = starts.join(left, PAGE).filter(F.col("f") > F.col("left_end")).groupBy(*PAGE).agg(F.min("f").alias("right_start"))
     d = pages.select(*PAGE, "char_count", "ruling_line_count").join(per, PAGE, "left").join(right, PAGE, "left")
-    d = d.join(corridors(words, pages).select(*PAGE, "centre"), PAGE, "left") if parallel else d.withColumn("centre", F.lit(None).cast("double"))
+    d = d.join(_corridors(words).select(*PAGE, "centre"), PAGE, "left") if parallel else d.withColumn("centre", F.lit(None).cast("double"))
     plain = (F.col("char_count") >= BLANK) & (F.col("ruling_line_count") < RULED) & F.col("modes").isNotNull()
     both = plain & F.col("centre").isNotNull()
     gutter = plain & ~both & (F.col("modes") > 1) & (F.col("share") >= DOMINANT) & F.col("left_end").isNotNull()

@@ -58,8 +58,8 @@ def test_answers(spark):
     assert [(r.id, r.copies) for r in answers.collapse(hits).orderBy("rank").collect()] == [("a", 2), ("c", 1)]
     pinned = hits.filter("id = 'c'")
     assert [r.id for r in answers.merge(pinned, hits, 2).orderBy("rank").collect()] == ["c", "a"]
-    t = spark.sql("SELECT 'general_terms:B/27/27.1;?:x' AS raw")
-    assert [tuple(x) for x in t.select(answers.reference_targets(t.raw).alias("t")).first().t] == [("general_terms", "27.1")]
+    t = spark.sql("SELECT 'general_terms:B/27/27.1;?:raw; ?:a/x;no colon;c:d:e/f; general_terms:B/27.1' AS raw")
+    assert [tuple(x) for x in t.select(answers.reference_targets(t.raw).alias("t")).first().t] == [("general_terms", "27.1"), ("?", "x"), ("c", "f")]  # an unknown part stays, an entry that is only raw does not
 
 
 def test_layout(spark):
