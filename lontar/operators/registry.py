@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from lontar.functions.text import plain_name, stem, tokens
 from lontar.operators.retrieval import top
+from lontar.stage import Stages
 
 FIELDS = ["filename", "contract_number", "contract_name", "document_type", "year", "page_count"]
 
@@ -44,31 +45,52 @@ def is_current(registry: DataFrame, stored_rows: int) -> DataFrame:
     return d.withColumn("current", (F.col("documents") > 0) & (F.col("documents") == F.col("counted")) & (F.col("rows") == stored_rows))
 
 
+def _starts(words: DataFrame, asked: DataFrame) -> DataFrame:
+    """t, word: the words (word) that begin with an asked term (t) of three letters or more, or are a
+    shorter one. Both sides are distinct and meet by their first letters."""
+    head = lambda c: F.substring(c, 1, 3)
+    long = asked.filter("length(t) >= 3").join(words.withColumn("h", head("word")), (head("t") == F.col("h")) & F.startswith("word", "t"))
+    short = asked.filter("length(t) < 3").join(words, F.col("t") == F.col("word"))
+    return long.select("t", "word").unionByName(short.select("t", "word"))
+
+
 def find_by_filename(registry: DataFrame, names: DataFrame, limit: int) -> DataFrame:
     """query_id, document_key, filename, rank, total: files whose plain name contains the plain query
-    (query_id, query), short names first. Queries are matched through the three-letter
-    pieces of names, so no query meets every file."""
+    (query_id, query), short names first. Distinct names and distinct queries meet through the
+    rarest three-letter piece of a query, so that no query meets every name."""
+    stages = Stages(registry.sparkSession, "filenames")
     piece = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 2, F.lit(1))), lambda i: F.substring(c, i, F.lit(3))))
     files = registry.withColumn("plain", plain_name(stem(F.col("filename")))).filter("plain <> ''").select("document_key", "filename", "plain")
     asked = names.select("query_id", plain_name(F.col("query")).alias("q")).filter("length(q) >= 3")
-    met = files.withColumn("piece", F.explode(piece(F.col("plain")))).join(asked.withColumn("piece", F.substring("q", 1, 3)), "piece").filter(F.contains("plain", "q"))
-    met = met.select("query_id", "document_key", "filename").distinct()
-    w = Window.partitionBy("query_id")
-    return met.withColumns({"rank": F.row_number().over(w.orderBy(F.length("filename"), "filename", "document_key")), "total": F.count("*").over(w)}).filter(F.col("rank") <= limit)
+    pieces = stages.write(files.select("plain").distinct().withColumn("piece", F.explode(piece(F.col("plain")))), "pieces")
+    wanted = asked.select("q").distinct().withColumn("piece", F.explode(piece(F.col("q"))))
+    rarest = wanted.join(pieces.groupBy("piece").agg(F.count("*").alias("n")), "piece", "left").groupBy("q").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece")).alias("x"))
+    met = stages.write(pieces.join(rarest.select("q", F.col("x.piece").alias("piece")), "piece").filter(F.contains("plain", "q")).select("q", "plain"), "met")
+    found = met.join(files, "plain").groupBy("q", "document_key", "filename").agg(F.first("plain"))
+    w = Window.partitionBy("q")
+    best = found.withColumns({"rank": F.row_number().over(w.orderBy(F.length("filename"), "filename", "document_key")), "total": F.count("*").over(w)}).filter(F.col("rank") <= limit)
+    return asked.join(best, "q").select("query_id", "document_key", "filename", "rank", "total")
 
 
 def search(registry: DataFrame, queries: DataFrame, limit: int, columns: list[str] = ["filename", "contract_number", "contract_name", "document_type"]) -> DataFrame:  # noqa: B006
     """query_id, id, score, rank: documents that have every word of a query as the beginning of one
-    of theirs, ranked by how rare the words are. Words are matched by their first three letters."""
-    words = registry.select(F.col("document_key").alias("id"), F.explode(F.array_distinct(tokens(F.concat_ws(" ", *columns)))).alias("word"))
-    asked = queries.select("query_id", F.array_distinct(tokens(F.col("query"))).alias("ts")).withColumn("need", F.size("ts")).select("query_id", "need", F.explode("ts").alias("t"))
-    head = lambda c: F.substring(c, 1, 3)
-    long = asked.filter("length(t) >= 3").join(words.withColumn("h", head("word")), (head("t") == F.col("h")) & F.startswith("word", "t")).drop("h")
-    short = asked.filter("length(t) < 3").join(words, F.col("t") == F.col("word"))
-    met = long.unionByName(short).select("query_id", "need", "t", "id").distinct()
-    rarity = met.select("query_id", "t", "id").groupBy("query_id", "t").agg(F.count("*").alias("df"))
-    scored = met.join(rarity, ["query_id", "t"]).groupBy("query_id", "id", "need").agg(F.count("*").alias("have"), F.sum(1.0 / F.col("df")).alias("score")).filter("have = need")
-    return top(scored.select("query_id", "id", "score"), limit, descending=True)
+    of theirs, ranked by how rare the words are. Distinct terms meet distinct words; the documents of
+    a query's rarest term are the candidates, and their other words are looked at in place. Queries of
+    the same words are answered once."""
+    stages = Stages(registry.sparkSession, "registry")
+    docs = stages.write(registry.select(F.col("document_key").alias("id"), F.array_distinct(tokens(F.concat_ws(" ", *columns))).alias("words")), "docs")
+    said = stages.write(queries.select("query_id", F.array_sort(F.array_distinct(tokens(F.col("query")))).alias("ts")), "said")
+    lists = said.select("ts").distinct()
+    terms = lists.select(F.explode("ts").alias("t")).distinct()
+    posted = docs.select("id", F.explode("words").alias("word"))
+    pairs = stages.write(_starts(posted.select("word").distinct(), terms), "pairs")
+    places = stages.write(pairs.join(posted, "word").select("t", "id").distinct(), "places")
+    df = stages.write(places.groupBy("t").agg(F.count("*").alias("df")), "df")
+    weighed = lists.select("ts", F.explode("ts").alias("t")).join(df, "t").groupBy("ts").agg(F.min(F.struct("df", "t")).alias("least"), F.sum(1.0 / F.col("df")).alias("score"), F.count("*").alias("have")).filter(F.col("have") == F.size("ts"))
+    candidates = weighed.select("ts", "score", F.col("least.t").alias("t")).join(places, "t").join(docs, "id")
+    every = F.forall("ts", lambda t: F.exists("words", lambda w: F.when(F.length(t) < 3, w == t).otherwise(F.startswith(w, t))))
+    best = top(candidates.filter(every).select(F.col("ts").alias("query_id"), "id", "score"), limit, descending=True).withColumnRenamed("query_id", "ts")
+    return said.join(best, "ts").select("query_id", "id", "score", "rank")
 
 
 def in_scope(rows: DataFrame, keys: DataFrame | None) -> DataFrame:
