@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lontar.plans import fields, hierarchy, nested, pages, search, snapshots, texts
+from lontar.plans import core, fields, hierarchy, nested, pages, search, snapshots, texts
 
-MODULES = [hierarchy, nested, snapshots, texts, search, pages, fields]
+MODULES = [hierarchy, nested, snapshots, texts, search, pages, fields, core]
 
 
 def queries() -> dict:
