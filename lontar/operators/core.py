@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lontar.functions.normalize import currency, number_words, rate
+from lontar.functions.normalize import MONTHS, currency, date, number_words, rate
 from lontar.functions.text import squash
 
 # Label dictionaries by rank, patterns, terms, windows in characters, scores.
@@ -43,6 +43,9 @@ SIGNED = r"\n([A-Z][A-Za-zÀ-ÿ.,'\- ]{2,60}(?:,\s*[A-Z]{1,6}(?:\.[A-Za-z]{1,6})
 DURATION = r"(?i)(\d{1,4})\s*(?:\(([^)]{2,60})\))?\s*(hari\s*kalende(?:r)?|hari\s*kerja|hari|minggu|bulan|tahun)\b"
 MONEY = r"(?i)Rp\.?\s*(\d[\d.,]*)"
 PENALTY = r"(?i)denda[^.]{0,150}"
+_MONTHS = "|".join(sorted(MONTHS, key=len, reverse=True))
+DATES = rf"(?i)(?:0?[1-9]|[12]\d|3[01])\s+(?:{_MONTHS})\s+(?:19|20)\d{{2}}|\d{{1,2}}[/\-.]\d{{1,2}}[/\-.]\d{{2,4}}|TAHUN\s+ANGGARAN\s+\d{{4}}"
+DATE_KINDS = {"fiscal_year": r"TAHUN\s+ANGGARAN", "authority_date": r"ditetapkan\s+di", "unlabeled_date": r"tanggal\s*:?"}
 ACCOUNT = r"\b\d{1,2}(?:\.\d{1,2}){4,6}\b"
 
 _has = lambda c: F.length(F.coalesce(c, F.lit(""))) > 0
@@ -121,10 +124,10 @@ def pick(found: DataFrame, repeated: bool = False, context: bool = True) -> Data
     return d.filter("k = 1").withColumn("ambiguous", F.coalesce(F.col("score") - F.col("second") < AMBIGUOUS, F.lit(False))).drop("k", "second")
 
 
-def contract_numbers(docs: DataFrame) -> DataFrame:
+def contract_numbers(docs: DataFrame, context: bool = True) -> DataFrame:
     """key, value, label, confidence, ambiguous, others, flags. A number that a title ("tentang") follows is a citation."""
-    d = candidates(docs, NUMBER_LABELS, NUMBER, colon=True).filter(~_cut(F.col("text"), F.col("end"), F.col("end") + 15).rlike(r"(?i)^\s*tentang\b"))
-    d = pick(d, repeated=True)
+    d = candidates(docs, NUMBER_LABELS, NUMBER, colon=True, line_start=context).filter(~_cut(F.col("text"), F.col("end"), F.col("end") + 15).rlike(r"(?i)^\s*tentang\b"))
+    d = pick(d, repeated=True, context=context)
     blank = F.col("value").rlike(r"\.{3,}")
     return d.select("key", F.when(~blank, F.col("value")).alias("value"), "label", F.when(blank, 0.0).otherwise(F.least(F.lit(0.99), F.col("score"))).alias("confidence"), "ambiguous", "others", _flags(blank, F.col("ambiguous")))
 
@@ -266,6 +269,19 @@ def numbers(docs: DataFrame) -> DataFrame:
     return out.withColumn("k", F.row_number().over(once)).filter("k = 1").drop("k", "i")
 
 
+def dates(docs: DataFrame) -> DataFrame:
+    """key, position, type, date, precision, raw, confidence, flags of every date of documents (key, text): the
+    type is the first whose label stands in the sixty characters before; a date that cannot be read or
+    that a placeholder precedes is flagged."""
+    d = docs.select("key", "text", F.posexplode(located(F.col("text"), DATES)).alias("position", "m"))
+    before = _cut(F.col("text"), F.col("m.start") - 60, F.col("m.start"))
+    kind = F.coalesce(*[F.when(before.rlike(f"(?i){p}"), name) for name, p in DATE_KINDS.items()], F.lit("unclassified_date"))
+    open_ = F.coalesce(F.substring(before, -20, 20).rlike(BLANK), F.lit(False))
+    d = d.withColumns({"x": date(F.col("m.raw")), "type": kind, "open": open_})
+    none = F.array().cast("array<string>")
+    return d.select("key", "position", "type", "x.date", "x.precision", "m.raw", F.when(F.col("x.date").isNull(), 0.0).otherwise(0.9).alias("confidence"), F.when(F.col("open") | F.col("x.date").isNull(), F.array(F.lit("template_placeholder"))).otherwise(none).alias("flags"))
+
+
 def status(fields: DataFrame) -> DataFrame:
     """key, fields_populated, fields_null, overall_confidence, requires_human_review, review_reasons of rows (key,
     field, populated, confidence, flags), one for each field of a document."""

@@ -6,48 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lontar.functions.normalize import date
-
-# Confidences of labels by rank, and bounds.
-FIRST, STEP, FLOOR = 0.99, 0.02, 0.90
-RANK_LOSS, REPEATED, AMBIGUOUS = 0.03, 1.15, 0.15
-VALUE = r"[^\n]{1,150}"
-DATE = r"\d{1,2}\s+[A-Za-zé]+\s+\d{4}|\d{1,2}[/\-.]\d{1,2}[/\-.]\d{2,4}"
+# Units of time.
 UNITS = {"hari kalender": "calendar_day", "hari kerja": "working_day", "hari": "day", "minggu": "week", "bulan": "month", "tahun": "year", "calendar days": "calendar_day", "days": "day"}
-MATCHES = 5  # other candidates that are reported
-
-
-def _escaped(label: str) -> str:
-    return "".join(c if c.isalnum() or c == " " else f"\\{c}" for c in label)
-
-
-def label_candidates(texts: DataFrame, key: str, text: str, labels: list[str], value: str = VALUE, colon: bool = True) -> DataFrame:
-    """key, label, rank, position, value, confidence of every value behind a label at a line's start."""
-    out = None
-    for rank, label in enumerate(labels):
-        p = rf"(?im)^[\s|]*{_escaped(label)}\s*{':' if colon else ':?'}\s*({value})"
-        d = texts.select(key, F.posexplode(F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(p), F.lit(1))).alias("position", "value"))
-        d = d.select(key, F.lit(label).alias("label"), F.lit(rank).alias("rank"), "position", F.regexp_replace("value", r"^[ \t.\-]+|[ \t.\-\r]+$", "").alias("value"), F.lit(max(FLOOR, FIRST - STEP * rank)).alias("confidence"))
-        out = d if out is None else out.unionByName(d)
-    return out.filter("value <> ''")
-
-
-def pick(candidates: DataFrame, key: str, texts: DataFrame | None = None, text: str | None = None) -> DataFrame:
-    """key, value, label, confidence, ambiguous, others: the best candidate. A value that the text has
-    more than once gains; a lead under AMBIGUOUS is ambiguous; ties keep the order of labels."""
-    d = candidates
-    if texts is not None:
-        d = d.join(texts.select(key, F.col(text).alias("whole")), key)
-        times = (F.length("whole") - F.length(F.replace("whole", "value", F.lit("")))) / F.length("value")
-        d = d.withColumn("again", times >= 2).drop("whole")
-    else:
-        d = d.withColumn("again", F.lit(False))
-    score = F.least(F.lit(1.0), F.col("confidence") * (1 - RANK_LOSS * F.col("rank")) * F.when(F.col("again"), REPEATED).otherwise(1.0))
-    d = d.withColumn("score", score)
-    w = Window.partitionBy(key).orderBy(F.desc(F.round("score", 9)), "rank", "position")
-    d = d.withColumns({"k": F.row_number().over(w), "next": F.lead("score").over(w), "next_value": F.lead("value").over(w), "others": F.slice(F.collect_list("value").over(w.rowsBetween(1, Window.unboundedFollowing)), 1, MATCHES)})
-    ambiguous = F.coalesce((F.col("score") - F.col("next") < AMBIGUOUS) & (F.col("next_value") != F.col("value")), F.lit(False))
-    return d.filter("k = 1").select(key, "value", "label", F.round("score", 4).alias("confidence"), ambiguous.alias("ambiguous"), "others")
 
 
 def classify(texts: DataFrame, key: str, text: str, signals: list[tuple[str, str, float]]) -> DataFrame:
@@ -60,16 +20,6 @@ def classify(texts: DataFrame, key: str, text: str, signals: list[tuple[str, str
     return d.select(key, F.col("b.value").alias("value"), F.col("b.weight").alias("hits"), F.least(F.lit(0.97), 0.6 + 0.15 * F.least(F.col("b.weight"), F.lit(3.0))).alias("confidence"))
 
 
-def dated(texts: DataFrame, key: str, text: str, labels: list[tuple[str, str]], context: int = 60) -> DataFrame:
-    """key, position, type, date, precision, raw of each date; the type is the first label (type, pattern) in
-    the ``context`` characters before it, else unclassified."""
-    p = rf"(?s)(.{{0,{context}}}?)\b({DATE})\b"
-    d = texts.select(key, F.posexplode(F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(p), F.lit(0))).alias("position", "piece"))
-    raw, left = F.regexp_extract("piece", p, 2), F.regexp_extract("piece", p, 1)
-    kind = F.coalesce(*[F.when(left.rlike(rx), F.lit(name)) for name, rx in labels], F.lit("unclassified"))
-    return d.select(key, "position", kind.alias("type"), date(raw).alias("d"), raw.alias("raw")).filter("d.precision = 'day'").select(key, "position", "type", "d.date", "d.precision", "raw")
-
-
 def durations(texts: DataFrame, key: str, text: str) -> DataFrame:
     """key, amount, unit: distinct lengths of time, longest unit names first."""
     names = sorted(UNITS, key=len, reverse=True)

@@ -13,6 +13,7 @@ from typing import NamedTuple
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 INDENT = 4.0  # points within which two lines are equally far in
 TOP = ("chapter_word", "article_word")
@@ -109,3 +110,28 @@ def outline(lines: DataFrame) -> DataFrame:
     that continues): node and parent number, depth, path of labels, type, text of all its lines."""
     rows = lines.select(F.col("doc").cast("string").alias("doc"), F.col("line_no").cast("int").alias("line_no"), "style", "label", F.col("x0").cast("double").alias("x0"), "text")
     return rows.repartition("doc").sortWithinPartitions("doc", "line_no").mapInPandas(_fold, OUT)
+
+
+def roman_series(lines: DataFrame) -> DataFrame:
+    """``lines`` (doc, line_no, style, label) with ``style`` roman_upper for single capitals that count on in Roman
+    numbers: a numeral one more or less is in the document, and no neighbour in the series of capitals
+    and numerals continues the alphabet with a letter that is no numeral. A letter that turns out to be
+    a numeral speaks for those behind it."""
+    from lontar.functions.text import ROMAN, roman_to_int
+
+    w = Window.partitionBy("doc").orderBy("line_no")
+    plain = lambda c: (F.length(c) == 1) & F.upper(c).rlike("^[A-Z]$") & ~F.upper(c).isin(*ROMAN)
+    code = lambda c: F.ascii(F.upper(c))
+    d = lines.filter(F.col("style").isin("letter_upper", "roman_upper"))
+    near = lambda c, by: F.coalesce(plain(c) & (code(c) == code(F.col("label")) + by), F.lit(False))
+    d = d.withColumns({"letters": near(F.lag("label").over(w), -1) | near(F.lead("label").over(w), 1), "value": roman_to_int(F.col("label"))})
+    asks = (F.col("style") == "letter_upper") & F.upper("label").isin(*ROMAN)
+    g = d.groupBy("doc").agg(F.array_sort(F.collect_list(F.when(asks, F.struct("line_no", "value", "letters")))).alias("asked"), F.collect_set(F.when(F.col("style") == "roman_upper", F.col("value"))).alias("known"))
+    begin = F.struct(F.col("known").alias("known"), F.array().cast("array<bigint>").alias("turned"))
+
+    def step(acc, x):
+        turns = ~x["letters"] & F.arrays_overlap(acc["known"], F.array(x["value"] - 1, x["value"] + 1))
+        return F.struct(F.when(turns, F.array_append(acc["known"], x["value"])).otherwise(acc["known"]).alias("known"), F.when(turns, F.array_append(acc["turned"], x["line_no"].cast("bigint"))).otherwise(acc["turned"]).alias("turned"))
+
+    turned = g.select("doc", F.explode(F.aggregate("asked", begin, step, lambda acc: acc["turned"])).alias("line_no"), F.lit(True).alias("roman"))
+    return lines.join(turned, ["doc", "line_no"], "left").withColumn("style", F.when(F.col("roman"), "roman_upper").otherwise(F.col("style"))).drop("roman")

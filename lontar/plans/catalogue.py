@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lontar.plans import core, fields, hierarchy, nested, pages, search, snapshots, texts
+from lontar.plans import checks, core, fields, hierarchy, nested, pages, relational, search, snapshots, texts
 
-MODULES = [hierarchy, nested, snapshots, texts, search, pages, fields, core]
+MODULES = [hierarchy, nested, snapshots, texts, search, pages, fields, core, relational, checks]
 
 
 def queries() -> dict:
