@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from lontar.functions.numbering import numbering
 from lontar.operators import evaluation, layout, outline, segments
-from lontar.plans.texts import N, documents, nodes
+from lontar.plans.texts import NOTED, N, documents, nodes, noted
 from lontar.stage import Stages
 
 
@@ -126,7 +126,7 @@ def quality_identifiers(spark, sf_dir):
 
 
 def quality_encoding(spark, sf_dir):
-    return evaluation.encoding_errors(documents(spark, sf_dir), "doc_id", "text")
+    return evaluation.encoding_errors(noted(spark, sf_dir), "doc_id", "text")
 
 
 def quality_gapless(spark, sf_dir):
@@ -188,7 +188,7 @@ SELECT doc_id, line_no, score, score >= 0.6 AND c1 + c2 + c3 + c4 > 0 AS is_head
     "quality_conservation": f"""WITH {N}, a AS (SELECT document_key, sum(length(coalesce(text_raw, '')))::BIGINT AS node_chars FROM nodes GROUP BY 1)
 SELECT document_key, node_chars, length(coalesce(text, ''))::BIGINT AS document_chars, round(node_chars / nullif(length(coalesce(text, '')), 0), 6) AS ratio FROM a JOIN documents USING (document_key)""",
     "quality_identifiers": "SELECT doc_id, coalesce(contains(text, contract_number), FALSE) AS kept FROM documents WHERE length(contract_number) > 0",
-    "quality_encoding": "SELECT doc_id, (length(text) - length(replace(text, chr(65533), '')))::INT AS errors FROM documents WHERE contains(text, chr(65533))",
+    "quality_encoding": f"WITH {NOTED} SELECT doc_id, (length(text) - length(replace(text, chr(65533), '')))::INT AS errors FROM noted WHERE contains(text, chr(65533))",
     "quality_gapless": rf"""WITH {N}, d AS (SELECT DISTINCT document_key, TRY_CAST(regexp_extract(label, '(\d+)$', 1) AS INT) AS n FROM nodes WHERE numbering_style = 'article_word')
 SELECT document_key, count(*) AS labels, max(n) - count(*) AS missing FROM d WHERE n > 0 GROUP BY 1""",
     "structure_scores": """WITH r AS (SELECT DISTINCT ON (snap_row_id) * FROM snapshot_nodes), e AS (SELECT specimen, min(snapshot_no) AS a, max(snapshot_no) AS b FROM r GROUP BY 1),

@@ -63,8 +63,16 @@ def roman_round_trip(spark, sf_dir):
     return d.select("p_partkey", "n", int_to_roman(F.col("n")).alias("roman"), roman_to_int(int_to_roman(F.col("n"))).alias("back"))
 
 
+def noted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, text: the documents with a closing paragraph that defines terms, cites laws, states a rate in
+    several forms, has replacement characters and ends in a page number."""
+    n = lambda m: F.pmod("doc_id", F.lit(m)).cast("int").cast("string")
+    said = F.concat(F.lit("\nPejabat Pembuat Komitmen yang selanjutnya disingkat PPK dan Penyedia Jasa selanjutnya disebut “Penyedia "), n(3), F.lit("”, Rekanan selanjutnya disebut “penyedia "), n(2), F.lit("” menurut UU No. "), n(40), F.lit(" Tahun 2017 dan Perpres No 16/2018: denda 1‰ atau 0,1 % atau 1/1000, pajak "), n(12), F.lit("%."), F.repeat(F.lit("�"), F.pmod("doc_id", F.lit(4)).cast("int")), F.lit("\n- "), n(200), F.lit(" -\n"))
+    return documents(spark, sf_dir).select("doc_id", F.concat(F.coalesce("text", F.lit("")), said).alias("text"))
+
+
 def page_labels(spark, sf_dir):
-    d = documents(spark, sf_dir).select("doc_id", page_label(F.col("text")).alias("page_label"))
+    d = noted(spark, sf_dir).select("doc_id", page_label(F.col("text")).alias("page_label"))
     return d.filter("page_label is not null")
 
 
@@ -81,16 +89,16 @@ def clause_placeholders(spark, sf_dir):
 
 
 def legal_citations(spark, sf_dir):
-    return entities.citations(documents(spark, sf_dir), "doc_id", "text")
+    return entities.citations(noted(spark, sf_dir), "doc_id", "text")
 
 
 def defined_terms(spark, sf_dir):
-    return entities.definitions(documents(spark, sf_dir), "doc_id", "text")
+    return entities.definitions(noted(spark, sf_dir), "doc_id", "text")
 
 
 def rate_forms(spark, sf_dir):
     """Written forms of each rate in a document."""
-    d = documents(spark, sf_dir).select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(entities.RATE), F.lit(0))).alias("raw"))
+    d = noted(spark, sf_dir).select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(entities.RATE), F.lit(0))).alias("raw"))
     d = d.withColumn("value", F.round(normalize.rate(F.col("raw")), 6)).filter("value is not null")
     return d.groupBy("doc_id", "value").agg(F.array_sort(F.collect_set(F.trim("raw"))).alias("forms"))
 
@@ -112,6 +120,7 @@ def sequence_breaks(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (normalize_amounts, normalize_dates, normalize_rates, normalize_tokens, text_names, numbering_labels, roman_round_trip, page_labels, clause_references, clause_modality, clause_placeholders, legal_citations, defined_terms, rate_forms, embedding_rows, sequence_breaks)}
 
 N = "n AS (SELECT document_key, node_id, arg_max(x, loaded_at) AS x FROM (SELECT *, {'parent_id': parent_id, 'depth': depth, 'node_type': node_type, 'label': label, 'label_normalized': label_normalized, 'numbering_style': numbering_style, 'title': title, 'path': path, 'text_raw': text_raw, 'pages': pages, 'reading_order': reading_order, 'sub_document': sub_document, 'extraction': extraction} AS x FROM tree_nodes) GROUP BY ALL), nodes AS (SELECT document_key, node_id, unnest(x) FROM n)"
+NOTED = """noted AS (SELECT doc_id, coalesce(text, '') || chr(10) || 'Pejabat Pembuat Komitmen yang selanjutnya disingkat PPK dan Penyedia Jasa selanjutnya disebut “Penyedia ' || (doc_id % 3)::VARCHAR || '”, Rekanan selanjutnya disebut “penyedia ' || (doc_id % 2)::VARCHAR || '” menurut UU No. ' || (doc_id % 40)::VARCHAR || ' Tahun 2017 dan Perpres No 16/2018: denda 1‰ atau 0,1 % atau 1/1000, pajak ' || (doc_id % 12)::VARCHAR || '%.' || repeat(chr(65533), (doc_id % 4)::INT) || chr(10) || '- ' || (doc_id % 200)::VARCHAR || ' -' || chr(10) AS text FROM documents)"""
 _MONTHS = "map {" + ", ".join(f"'{k}': {v}" for k, v in normalize.MONTHS.items()) + "}"
 _STYLES_SQL = {s: p.replace(r"(?=[A-Z0-9])", "[A-Z0-9]").replace(r"(?=[A-Z])", "[A-Z]") for s, p, _ in STYLES}
 
@@ -164,9 +173,15 @@ SELECT document_key, node_id, 'negation_present' AS flag FROM w WHERE list_has_a
 UNION ALL SELECT document_key, node_id, CASE WHEN list_contains(ws, 'dilarang') THEN 'deontic:dilarang' WHEN list_has_any(ws, ['wajib', 'harus']) THEN 'deontic:wajib' ELSE 'deontic:dapat' END FROM w WHERE list_has_any(ws, ['dilarang', 'wajib', 'harus', 'dapat', 'boleh'])
 UNION ALL SELECT document_key, node_id, 'template_placeholder' FROM w WHERE regexp_matches(text_raw, '…{{1,}}|\.{{4,}}|\[[^\]]{{1,80}}\]')""",
     "clause_placeholders": rf"""WITH {N}, r AS (SELECT document_key, node_id, regexp_extract_all(text_raw, '…{{1,}}|\.{{4,}}|\[[^\]]{{1,80}}\]') AS rs FROM nodes) SELECT document_key, node_id, unnest(range(len(rs)))::INT AS position, unnest(rs) AS raw FROM r""",
-    "legal_citations": r"""WITH r AS (SELECT doc_id, unnest(regexp_extract_all(text, '(?i)\b(?:UU|PP|Perpres|Permen\w*|Keppres)\s+No\.?\s*(?:\d+)\s*(?:Tahun|/)\s*(?:\d{4})')) AS raw FROM documents)
-SELECT doc_id, raw, upper(regexp_extract(raw, '(?i)(UU|PP|Perpres|Permen\w*|Keppres)', 1)) AS instrument, regexp_extract(raw, '(?i)No\.?\s*(\d+)', 1) AS number, regexp_extract(raw, '(\d{4})$', 1) AS year FROM r""",
-    "rate_forms": r"""WITH r AS (SELECT doc_id, trim(unnest(regexp_extract_all(text, '\d+(?:[.,]\d+)?\s*[‰%]|\d+\s*/\s*\d+'))) AS raw FROM documents),
+    "legal_citations": rf"""WITH {NOTED}, r AS (SELECT doc_id, unnest(regexp_extract_all(text, '(?i)\b(?:UU|PP|Perpres|Permen\w*|Keppres)\s+No\.?\s*(?:\d+)\s*(?:Tahun|/)\s*(?:\d{{4}})')) AS raw FROM noted)
+SELECT doc_id, raw, upper(regexp_extract(raw, '(?i)(UU|PP|Perpres|Permen\w*|Keppres)', 1)) AS instrument, regexp_extract(raw, '(?i)No\.?\s*(\d+)', 1) AS number, regexp_extract(raw, '(\d{{4}})$', 1) AS year FROM r""",
+    "defined_terms": rf"""WITH {NOTED}, a AS (SELECT doc_id, unnest(range(len(rs))) AS i, unnest(rs) AS raw FROM (SELECT doc_id, regexp_extract_all(text, '{entities.ABBREVIATED}') AS rs FROM noted)),
+d AS (SELECT doc_id, unnest(range(len(rs))) AS i, unnest(rs) AS raw FROM (SELECT doc_id, regexp_extract_all(text, '{entities.DEFINED}') AS rs FROM noted)),
+b AS (SELECT doc_id, i, 'abbreviation' AS type, trim(regexp_extract(raw, '{entities.ABBREVIATED}', 2)) AS term, trim(regexp_extract(raw, '{entities.ABBREVIATED}', 1)) AS meaning FROM a
+  UNION ALL SELECT doc_id, i, 'defined_term', trim(regexp_extract(raw, '{entities.DEFINED}', 2)), right(trim(regexp_extract(raw, '{entities.DEFINED}', 1)), 120) FROM d)
+SELECT doc_id, type, term, meaning FROM b QUALIFY row_number() OVER (PARTITION BY doc_id, type, CASE WHEN type = 'defined_term' THEN lower(term) ELSE lower(meaning) || '|' || term END ORDER BY i) = 1""",
+    "page_labels": f"WITH {NOTED} SELECT doc_id, (doc_id % 200)::VARCHAR AS page_label FROM noted",
+    "rate_forms": rf"""WITH {NOTED}, r AS (SELECT doc_id, trim(unnest(regexp_extract_all(text, '\d+(?:[.,]\d+)?\s*[‰%]|\d+\s*/\s*\d+'))) AS raw FROM noted),
 v AS (SELECT doc_id, raw, round(CASE WHEN contains(raw, '‰') THEN replace(regexp_extract(raw, '[\d.,]+'), ',', '.')::DOUBLE / 1000 WHEN contains(raw, '%') THEN replace(regexp_extract(raw, '[\d.,]+'), ',', '.')::DOUBLE / 100 ELSE regexp_extract(raw, '^\d+')::DOUBLE / nullif(regexp_extract(raw, '\d+$')::DOUBLE, 0) END, 6) AS value FROM r)
 SELECT doc_id, value, list_sort(list_distinct(list(raw))) AS forms FROM v WHERE value IS NOT NULL GROUP BY ALL""",
     "embedding_rows": rf"""WITH {N}, t AS (SELECT *, trim(regexp_replace(CASE WHEN title <> '' AND text_raw <> '' THEN title || chr(10) || text_raw WHEN title <> '' THEN title ELSE coalesce(text_raw, '') END, '\s+', ' ', 'g')) AS text, pages[1] AS page, coalesce(path, []) AS hierarchy_path FROM nodes),
