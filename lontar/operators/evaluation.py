@@ -133,3 +133,67 @@ def gate(hits: DataFrame, expected: DataFrame, max_rank: int) -> DataFrame:
     """query_id, rank, passed: the best rank at which an expected row (query_id, id) was found, null if it was not."""
     found = expected.join(hits.select("query_id", "id", "rank"), ["query_id", "id"], "left").groupBy("query_id").agg(F.min("rank").alias("rank"))
     return found.withColumn("passed", F.coalesce(F.col("rank") <= max_rank, F.lit(False)))
+
+
+LONG_ENOUGH = 60  # characters from which equal texts are the same clause wherever they stand
+
+
+def _prefixes(path: Column) -> Column:
+    """A path and all paths above it."""
+    steps = F.split(path, "/")
+    return F.transform(F.sequence(F.lit(1), F.size(steps)), lambda i: F.array_join(F.slice(steps, 1, i), "/"))
+
+
+def without_section(path: Column) -> Column:
+    """A path without the single capital that it begins with."""
+    return F.when(path.rlike("^\\p{Lu}/"), F.substring(path, 3, 100_000)).otherwise(path)
+
+
+def accepted_rows(rows: DataFrame, expected: DataFrame) -> DataFrame:
+    """query_id, id, kind of the rows (id, part, path, text, node_type) that answer an expected clause (query_id, part,
+    path, and optionally node_type, text_contains): by :func:`match_kind`, or ``equivalent`` with the text of such
+    a row if that is long, or stands at the same place but for its section's letter. Rows meet the
+    expected paths by their prefixes, so no query meets every row."""
+    e = lambda c: F.coalesce(F.col(c), F.lit(""))
+    r = rows.select("id", e("part").alias("part"), e("path").alias("path"), e("text").alias("text"), "node_type")
+    q = expected.select("query_id", e("part").alias("part"), e("path").alias("want"), *[F.col(c) if c in expected.columns else F.lit(None).cast("string").alias(c) for c in ("node_type", "text_contains")])
+    above = r.withColumn("want", F.explode(F.array_distinct(F.concat(_prefixes(F.col("path")), _prefixes(collapsed_path(F.col("path")))))))
+    met = above.join(q.drop("node_type", "text_contains"), ["part", "want"]).withColumn("kind", match_kind(F.col("part"), F.col("path"), F.col("part"), F.col("want"))).filter("kind is not null")
+    named = met.select("query_id", "id", "kind")
+    said = met.filter("text <> ''").select("query_id", F.sha2("text", 256).alias("sha")).distinct()
+    same = r.withColumn("sha", F.sha2("text", 256)).join(said, "sha").join(q.select("query_id", F.col("part").alias("q_part"), "want"), "query_id")
+    place = match_kind(F.col("part"), without_section(F.col("path")), F.col("q_part"), without_section(F.col("want"))).isNotNull()
+    same = same.filter((F.length("text") >= LONG_ENOUGH) | place).select("query_id", "id", F.lit("equivalent").alias("kind"))
+    found = named.unionByName(same.join(named.select("query_id", "id"), ["query_id", "id"], "left_anti"))
+    if "node_type" in expected.columns or "text_contains" in expected.columns:
+        d = found.join(r.select("id", "node_type", "text"), "id").join(q.select("query_id", F.col("node_type").alias("q_type"), "text_contains"), "query_id")
+        d = d.filter((F.col("q_type").isNull() | (F.col("q_type") == F.col("node_type"))) & (F.col("text_contains").isNull() | F.contains("text", "text_contains")))
+        found = d.select("query_id", "id", "kind")
+    return found
+
+
+def evaluated(hits: DataFrame, accepted: DataFrame, queries: DataFrame, max_rank: int | None = None) -> DataFrame:
+    """query_id, rank, match_kind, class_size, accepted_hits, exact_hits, passed of queries (query_id): the best rank
+    of an accepted row among the hits (query_id, id, rank) and its kind. A query without accepted rows
+    fails, as does one found below ``max_rank``."""
+    size = accepted.groupBy("query_id").agg(F.count("*").alias("class_size"))
+    g = hits.join(accepted, ["query_id", "id"]).groupBy("query_id").agg(F.min("rank").alias("rank"), F.min_by("kind", "rank").alias("kind"), F.count("*").alias("accepted_hits"), F.sum(F.col("kind").isin("exact", "refined").cast("int")).alias("exact_hits"))
+    d = queries.select("query_id").distinct().join(size, "query_id", "left").join(g, "query_id", "left").na.fill(0, ["class_size", "accepted_hits", "exact_hits"])
+    passed = F.col("rank").isNotNull() if max_rank is None else F.coalesce(F.col("rank") <= max_rank, F.lit(False))
+    return d.select("query_id", "rank", F.when(passed, F.col("kind")).alias("match_kind"), "class_size", "accepted_hits", "exact_hits", passed.alias("passed"))
+
+
+def has_reference(targets: Column, part: Column, suffix: Column) -> Column:
+    """Whether reference targets (``part:path;part:path``) hold a path of a part that ends in a suffix."""
+    entries = F.split(F.coalesce(targets, F.lit("")), ";")
+    path = lambda x: F.substring(x, F.instr(x, ":") + 1, F.length(x))
+    return F.exists(entries, lambda x: x.contains(":") & (F.substring_index(x, ":", 1) == part) & ((path(x) == suffix) | F.endswith(path(x), F.concat(F.lit("/"), suffix))))
+
+
+def field_scores(resolved: DataFrame, expected: DataFrame, sure: float = 0.9) -> DataFrame:
+    """key, field, passed, confident_but_wrong: resolved values (key, field, value, confidence) against expected ones
+    (key, field, value), white space and case aside. Fields without an expected value are not judged."""
+    plain = lambda c: F.lower(F.trim(F.regexp_replace(F.coalesce(F.col(c), F.lit("")), r"\s+", " ")))
+    d = expected.filter(plain("value") != "").select("key", "field", plain("value").alias("due")).join(resolved.select("key", "field", plain("value").alias("got"), "confidence"), ["key", "field"], "left")
+    passed = F.coalesce(F.col("due") == F.col("got"), F.lit(False))
+    return d.select("key", "field", passed.alias("passed"), (~passed & F.coalesce(F.col("confidence") >= sure, F.lit(False))).alias("confident_but_wrong"))

@@ -143,13 +143,22 @@ def answers_expand(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (search_bm25, search_vectors, search_hybrid, search_recall, search_gate, keyword_scores, keyword_top, keyword_seeds, registry_documents, registry_upsert, registry_current, registry_filenames, registry_search, answers_collapse, answers_address, answers_kinds, answers_targets, answers_expand)}
 
 _TOKENS = r"regexp_extract_all(lower(coalesce({c}, '')), '[0-9]+(?:\.[0-9]+)+|[\p{{L}}\p{{N}}_]+')"
-_BM25 = f"""t AS (SELECT doc_id AS id, {_TOKENS.format(c="text")} AS t FROM documents), sz AS (SELECT count(*) AS n, avg(len(t)) AS mean FROM t),
-tf AS (SELECT id, dl, term, count(*) AS tf FROM (SELECT id, len(t) AS dl, unnest(t) AS term FROM t) GROUP BY ALL),
+
+
+def ranked(texts: str, asked: str, **columns: str) -> str:
+    """Common table expressions of the ranking by words: ``texts`` gives id and tokens t, ``asked`` gives query_id
+    and term; {name} in them stands for the tokens of a column."""
+    tokens = {k: _TOKENS.format(c=c) for k, c in columns.items()}
+    return f"""bt AS ({texts.format(**tokens)}), sz AS (SELECT count(*) AS n, avg(len(t)) AS mean FROM bt),
+tf AS (SELECT id, dl, term, count(*) AS tf FROM (SELECT id, len(t) AS dl, unnest(t) AS term FROM bt) GROUP BY ALL),
 df AS (SELECT term, ln(n - count(*) + 0.5) - ln(count(*) + 0.5) AS raw FROM tf, sz GROUP BY term, n),
 idf AS (SELECT term, CASE WHEN raw < 0 THEN 0.25 * (SELECT avg(raw) FROM df) ELSE raw END AS idf FROM df),
-q AS (SELECT query_id, term, count(*) AS times FROM (SELECT doc_id AS query_id, unnest({_TOKENS.format(c="contract_name")}) AS term FROM documents WHERE doc_id % 20 = 0) GROUP BY ALL),
-words AS (SELECT query_id, id, sum(times * idf * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * dl / mean))) AS score FROM q JOIN idf USING (term) JOIN tf USING (term), sz GROUP BY ALL HAVING score > 0),
+bq AS (SELECT query_id, term, count(*) AS times FROM ({asked.format(**tokens)}) GROUP BY ALL),
+words AS (SELECT query_id, id, sum(times * idf * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * dl / mean))) AS score FROM bq JOIN idf USING (term) JOIN tf USING (term), sz GROUP BY ALL HAVING score > 0),
 lex AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id) AS rank FROM words)"""
+
+
+_BM25 = ranked("SELECT doc_id AS id, {text} AS t FROM documents", "SELECT doc_id AS query_id, unnest({name}) AS term FROM documents WHERE doc_id % 20 = 0", text="text", name="contract_name")
 _NEAR = """v AS (SELECT vec_id AS id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings), far AS (SELECT a.id AS query_id, b.id, 1 - list_cosine_similarity(a.e, b.e) AS score FROM v a, v b WHERE a.id % 20 = 0),
 near AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9), id) AS rank FROM far)"""
 _STOP = ", ".join(f"'{w}'" for w in STOP)
