@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import partial
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Words left out, in addition to a stopword list.
-DOMAIN = "tersebut dimaksud berikut sebagaimana selanjutnya disebut yaitu antara lain atau dan/atau serta guna terhadap mengenai melalui berdasarkan sesuai meliputi adapun bahwa maka apabila jika kecuali sedangkan dst dll tsb ybs".split()
-STRUCTURAL = "pasal ayat bab huruf angka lampiran butir halaman nomor no hal".split()
-RESCUED = {"pihak", "waktu", "bagian"}
+# Words left out, in addition to a stopword list, and words that are kept.
+DOMAIN = [
+    "tersebut", "dimaksud", "berikut", "sebagaimana", "selanjutnya", "disebut", "yaitu", "antara", "lain", "atau", "dan/atau", "serta", "guna", "terhadap", "mengenai", "melalui", "berdasarkan", "sesuai",
+    "meliputi", "adapun", "bahwa", "maka", "apabila", "jika", "kecuali", "sedangkan", "dst", "dll", "tsb", "ybs",
+]
+STRUCTURAL = ["pasal", "ayat", "bab", "huruf", "angka", "lampiran", "butir", "halaman", "nomor", "no", "hal"]
+RESCUED = ["pihak", "waktu", "bagian"]
 LEAST = 3  # letters of a word
 WORDS = 4  # of a phrase
 ALIKE = 0.5  # part of shared words that makes a phrase a repetition
@@ -25,7 +24,7 @@ _BREAK = r"[,.;:!?()\[\]{}\"'–—|/]+"
 
 def stopwords(listed: list[str]) -> list[str]:
     """A list of words without those rescued, with those of the domain and of document structure."""
-    return sorted(({w.strip().lower() for w in listed if w.strip() and not w.startswith("#")} - RESCUED) | set(DOMAIN) | set(STRUCTURAL))
+    return sorted(({w.strip().lower() for w in listed if w.strip() and not w.startswith("#")} - set(RESCUED)) | set(DOMAIN) | set(STRUCTURAL))
 
 
 def phrases(texts: DataFrame, key: str, text: str, stop: list[str]) -> DataFrame:
@@ -54,33 +53,26 @@ def display(phrase: Column) -> Column:
     return F.array_join(F.transform(F.split(phrase, " "), lambda w: F.when(w.rlike(r"^\p{Lu}{4,}$"), F.concat(F.substring(w, 1, 1), F.lower(F.substring(w, 2, 200)))).otherwise(w)), " ")
 
 
-def _greedy(batches: Iterator[pd.DataFrame], n: int, stop: frozenset[str]) -> Iterator[pd.DataFrame]:
-    import re
-
-    word = re.compile(r"[^\W\d_]+(?:[-'][^\W\d_]+)*")
-    for d in batches:
-        out = []
-        for key, ranked in zip(d["key"], d["ranked"], strict=True):
-            kept: list[frozenset[str]] = []
-            for r in ranked:
-                low = word.findall(r["surface"].lower())
-                content = frozenset(t for t in low if t not in stop and len(t) >= LEAST)
-                if len(r["surface"]) < LEAST or len(set(low)) != len(low) or not content or any(len(content & k) >= ALIKE * len(content | k) for k in kept):
-                    continue
-                kept.append(content)
-                out.append((key, len(kept), r["surface"], r["score"]))
-                if len(kept) == n:
-                    break
-        yield pd.DataFrame(out, columns=["key", "rank", "phrase", "score"])
+def _first_told(ranked: Column, n: int) -> Column:
+    """Of phrases (surface, score, words) from the best on those that share less than the part ALIKE of
+    their words with each one told before, at most n: a fold over the array."""
+    none = F.array().cast("array<struct<surface:string,score:double,words:array<string>>>")
+    alike = lambda a, b: F.size(F.array_intersect(a, b)) >= ALIKE * F.size(F.array_union(a, b))
+    tell = lambda told, p: F.when((F.size(told) < n) & ~F.exists(told, lambda t: alike(t["words"], p["words"])), F.array_append(told, F.struct(p["surface"].alias("surface"), p["score"].alias("score"), p["words"].alias("words")))).otherwise(told)
+    return F.aggregate(ranked, none, tell)
 
 
 def keywords(texts: DataFrame, key: str, text: str, stop: list[str], n: int = TOP) -> DataFrame:
-    """key, rank, phrase, score: the n best phrases of a text that do not repeat a better one."""
-    d = scores(phrases(texts, key, text, stop), key)
-    ranked = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("minus"), "first_no", display(F.col("surface")).alias("surface"), "score")))
-    per = d.groupBy(F.col(key).alias("key")).agg(ranked.alias("ranked"))
-    kind = dict(texts.dtypes)[key]
-    return per.mapInPandas(partial(_greedy, n=n, stop=frozenset(stop)), f"key {kind}, rank int, phrase string, score double").withColumnRenamed("key", key)
+    """key, rank, phrase, score: the n best phrases of a text that do not repeat a better one. A phrase says
+    something if none of its words comes twice and one of them is no stopword. The best are taken
+    from the front of each text's list until n are told, all in column expressions."""
+    d = scores(phrases(texts, key, text, stop), key).withColumn("surface", display(F.col("surface")))
+    low = F.regexp_extract_all(F.lower("surface"), F.lit(_WORD), F.lit(0))
+    d = d.withColumn("low", low).withColumn("words", F.array_distinct(F.filter("low", lambda w: (F.length(w) >= LEAST) & ~w.isin(stop))))
+    d = d.filter((F.length("surface") >= LEAST) & (F.size("words") > 0) & (F.size(F.array_distinct("low")) == F.size("low")))
+    ranked = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("minus"), "first_no", "surface", "score", "words")))
+    told = d.groupBy(key).agg(ranked.alias("r")).select(key, F.posexplode(_first_told(F.col("r"), n)).alias("i", "t"))
+    return told.select(key, (F.col("i") + 1).alias("rank"), F.col("t.surface").alias("phrase"), F.col("t.score").alias("score"))
 
 
 def seeds(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
