@@ -203,6 +203,11 @@ def _read(batches: Iterator[pd.DataFrame], lex: Lexicon, firm: bool) -> Iterator
         yield pd.DataFrame(rows, columns=["text", "n", "choices", "anchor", "words", "tag", "initials", "shorter"])
 
 
+def _spread(rows: DataFrame, *on: str) -> DataFrame:
+    """Rows over all tasks: few bytes of names are one file and one task, but much work for Python."""
+    return rows.repartition(2 * rows.sparkSession.sparkContext.defaultParallelism, *on)
+
+
 def _split(words: str) -> tuple[str, ...]:
     return tuple(words.split(" ")) if words else ()
 
@@ -227,7 +232,7 @@ def _made(readings: DataFrame, firm: bool) -> DataFrame:
     """The readings that each reading generates, itself included: written out for short ones; a long
     one is compared with the readings of its anchor."""
     long = F.size(F.split("words", " ")) > WORDS
-    written = readings.filter(~long).mapInPandas(partial(_forms, firm=firm), FORMS)
+    written = _spread(readings.filter(~long), "anchor", "words", "tag").mapInPandas(partial(_forms, firm=firm), FORMS)
     other = readings.select("anchor", F.col("words").alias("form"), F.col("tag").alias("form_tag"))
     met = readings.filter(long).join(other, "anchor").filter(F.size(F.split("form", " ")) <= F.size(F.split("words", " ")))
     return written.unionByName(met.select(_FORMS).mapInPandas(partial(_compared, firm=firm), FORMS))
@@ -292,7 +297,7 @@ def entities(names: DataFrame, forms: DataFrame, firm: bool) -> DataFrame:
     if len(known) > FORMS_MOST:
         raise ValueError(f"more than {FORMS_MOST} known short forms")
     lex = _lexicon(names, known, firm)
-    read = stages.write(names.mapInPandas(partial(_read, lex=lex, firm=firm), "text string, n long, choices int, anchor string, words string, tag string, initials array<string>, shorter array<string>"), "read")
+    read = stages.write(_spread(names, "text").mapInPandas(partial(_read, lex=lex, firm=firm), "text string, n long, choices int, anchor string, words string, tag string, initials array<string>, shorter array<string>"), "read")
     to = _anchors(read, stages)
     read = stages.write(read.join(to, "anchor", "left").select("text", "n", "choices", F.coalesce("canon", "anchor").alias("anchor"), "words", "tag"), "anchored")
     one = ["anchor", "words", "tag"]
