@@ -86,7 +86,7 @@ def page_levels(spark, sf_dir):
     words = geometry(spark, sf_dir)[0].filter("page = 1")
     low = (F.pmod(F.col("idx"), F.lit(3))).cast("double")
     d = tables.row_tops(words.withColumns({"top": F.col("top") + low, "bottom": F.col("bottom") + low}))
-    return d.select(F.col("doc").alias("doc_id"), "idx", "level_top", "level_bottom")
+    return d.select(F.col("doc").alias("doc_id"), F.col("idx").cast("long").alias("idx"), "level_top", "level_bottom")
 
 
 SERIES = {0: "I II III", 1: "H I J", 2: "IV V C D E", 3: "II I C X", 4: "A B V VI"}
