@@ -282,8 +282,13 @@ def dates(docs: DataFrame) -> DataFrame:
     return d.select("key", "position", "type", "x.date", "x.precision", "m.raw", F.when(F.col("x.date").isNull(), 0.0).otherwise(0.9).alias("confidence"), F.when(F.col("open") | F.col("x.date").isNull(), F.array(F.lit("template_placeholder"))).otherwise(none).alias("flags"))
 
 
+def rounded(x: Column, digits: int) -> Column:
+    """A mean rounded as a decimal number, so that the order of its sum does not show."""
+    return F.round(x.cast("decimal(18,9)"), digits).cast("double")
+
+
 def status(fields: DataFrame) -> DataFrame:
     """key, fields_populated, fields_null, overall_confidence, requires_human_review, review_reasons of rows (key,
     field, populated, confidence, flags), one for each field of a document."""
-    g = fields.groupBy("key").agg(F.sum(F.col("populated").cast("int")).alias("fields_populated"), F.sum((~F.col("populated")).cast("int")).alias("fields_null"), F.round(F.avg("confidence"), 3).alias("overall_confidence"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("flags")))).alias("review_reasons"))
+    g = fields.groupBy("key").agg(F.sum(F.col("populated").cast("int")).alias("fields_populated"), F.sum((~F.col("populated")).cast("int")).alias("fields_null"), rounded(F.avg("confidence"), 3).alias("overall_confidence"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("flags")))).alias("review_reasons"))
     return g.withColumn("requires_human_review", (F.col("overall_confidence") < 0.6) | (F.size("review_reasons") > 0))

@@ -74,8 +74,8 @@ def core_status(spark, sf_dir):
     parts = [
         field(names, "contract_name", F.col("value").isNotNull(), F.col("confidence"), F.col("flags"), ["review_required"]),
         field(ids, "contract_number", F.col("value").isNotNull(), F.col("confidence"), F.col("flags"), ["review_required"]),
-        field(people, "parties", F.lit(True), F.round(0.4 + 0.3 * F.col("filled") / F.col("n"), 2), F.when(F.col("filled") < F.col("n"), F.array(F.lit("incomplete_parties"))).otherwise(none), ["no_parties_detected", "review_required"]),
-        field(sums, "key_numbers", F.lit(True), F.round("c", 2), F.when(F.col("open"), F.array(F.lit("contract_value_missing"))).otherwise(none), ["no_numbers_detected"]),
+        field(people, "parties", F.lit(True), core.rounded(0.4 + 0.3 * F.col("filled") / F.col("n"), 2), F.when(F.col("filled") < F.col("n"), F.array(F.lit("incomplete_parties"))).otherwise(none), ["no_parties_detected", "review_required"]),
+        field(sums, "key_numbers", F.lit(True), core.rounded(F.col("c"), 2), F.when(F.col("open"), F.array(F.lit("contract_value_missing"))).otherwise(none), ["no_numbers_detected"]),
     ]
     d = core.status(parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3]))
     return d.withColumnRenamed("key", "doc_id")
@@ -193,3 +193,14 @@ k AS (SELECT *, row_number() OVER (PARTITION BY doc_id, role ORDER BY (coalesce(
 SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY at_)::INT AS party_no, role, role_label, organization, name, position, identifier, address, flags FROM k WHERE k = 1""",
     "core_numbers": _NUMBERS,
 }
+
+_IN = lambda q: "(" + SQL[q].strip() + ")"
+SQL["core_status"] = f"""WITH names AS {_IN('core_names')}, ids AS {_IN('core_ids')}, parties AS {_IN('core_parties')}, numbers AS {_IN('core_numbers')},
+p AS (SELECT doc_id, count(*) AS n, sum((name IS NOT NULL OR organization IS NOT NULL)::INT) AS filled FROM parties GROUP BY 1),
+n AS (SELECT doc_id, avg(confidence) AS c, bool_or(type = 'contract_value' AND amount IS NULL) AS open FROM numbers GROUP BY 1),
+f AS (SELECT doc_id, coalesce(names.value IS NOT NULL, FALSE) AS populated, coalesce(names.confidence, 0) AS confidence, coalesce(names.flags, ['review_required']) AS flags FROM documents LEFT JOIN names USING (doc_id)
+  UNION ALL SELECT doc_id, coalesce(ids.value IS NOT NULL, FALSE), coalesce(ids.confidence, 0), coalesce(ids.flags, ['review_required']) FROM documents LEFT JOIN ids USING (doc_id)
+  UNION ALL SELECT doc_id, n IS NOT NULL, coalesce(round((0.4 + 0.3 * filled / n)::DECIMAL(18,9), 2)::DOUBLE, 0), CASE WHEN n IS NULL THEN ['no_parties_detected', 'review_required'] WHEN filled < n THEN ['incomplete_parties'] ELSE [] END FROM documents LEFT JOIN p USING (doc_id)
+  UNION ALL SELECT doc_id, c IS NOT NULL, coalesce(round(c::DECIMAL(18,9), 2)::DOUBLE, 0), CASE WHEN c IS NULL THEN ['no_numbers_detected'] WHEN open THEN ['contract_value_missing'] ELSE [] END FROM documents LEFT JOIN n USING (doc_id)),
+g AS (SELECT doc_id, sum(populated::INT)::BIGINT AS fields_populated, sum((NOT populated)::INT)::BIGINT AS fields_null, round(avg(confidence)::DECIMAL(18,9), 3)::DOUBLE AS overall_confidence, list_sort(list_distinct(flatten(list(flags)))) AS review_reasons FROM f GROUP BY 1)
+SELECT *, overall_confidence < 0.6 OR len(review_reasons) > 0 AS requires_human_review FROM g"""

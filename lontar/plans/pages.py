@@ -157,7 +157,40 @@ _WORDS = r"""l AS (SELECT doc_id, unnest(range(len(ls))) AS i, unnest(ls) AS lin
 w AS (SELECT doc_id, i, unnest(range(len(ws))) AS k, unnest(ws) AS text, ws FROM (SELECT doc_id, i, string_split(line, ' ') AS ws FROM l))"""
 _PLACED = _WORDS + """, p AS (SELECT doc_id, i, k, text, (72 + 14 * i)::DOUBLE AS top, (72 + 5 * coalesce(list_sum(list_transform(ws[1:k], lambda x: length(x) + 1)), 0))::DOUBLE AS x0 FROM w WHERE length(text) > 0)"""
 
+_FOUND = (
+    _WORDS
+    + """, pl AS (SELECT doc_id, page, i, k, text, (72 + 14 * i)::DOUBLE AS top, x0, x0 + 5 * length(text) AS x1 FROM (
+  SELECT doc_id, 1 AS page, i, k, text, (72 + 5 * coalesce(list_sum(list_transform(ws[1:k], lambda x: length(x) + 1)), 0))::DOUBLE AS x0 FROM w WHERE length(text) > 0
+  UNION ALL SELECT doc_id, 2, i, k, text, (72 + CASE WHEN k % 2 = 1 THEN 260 ELSE 0 END + (k // 2) * 20)::DOUBLE FROM w WHERE length(text) > 0)),
+st AS (SELECT doc_id, page, least(min(x0) / 595, 1.0) AS f FROM pl GROUP BY doc_id, page, i), sb AS (SELECT *, least(49, floor(f * 50))::INT AS bin FROM st),
+bc AS (SELECT doc_id, page, bin, count(*) AS c FROM sb GROUP BY ALL), br AS (SELECT *, bin - row_number() OVER (PARTITION BY doc_id, page ORDER BY bin) AS run FROM bc),
+mo AS (SELECT doc_id, page, min(bin) / 50 AS a, (max(bin) + 1) / 50 AS b, sum(c) AS c FROM br GROUP BY doc_id, page, run),
+tm AS (SELECT doc_id, page, count(*) AS modes, sum(c) AS n, arg_min(a, (-c, a)) AS top_a, max(c) AS top_c FROM mo GROUP BY ALL),
+lf AS (SELECT doc_id, page, max(b) AS left_end FROM mo JOIN tm USING (doc_id, page) WHERE b <= top_a AND a < 0.25 AND top_a - b >= 0.15 GROUP BY ALL),
+rs AS (SELECT doc_id, page, min(f) AS right_start FROM sb JOIN lf USING (doc_id, page) WHERE f > left_end GROUP BY ALL),
+sp AS (SELECT doc_id, page, x0 - lag(x1) OVER (PARTITION BY doc_id, page, i ORDER BY x0, k) AS s FROM pl),
+sm AS (SELECT doc_id, page, count(*) AS n, list_sort(list(s) FILTER (WHERE s > 0)) AS ss FROM sp GROUP BY ALL), sg AS (SELECT doc_id, page, n, coalesce(ss[len(ss) // 2 + 1], 2.0) AS spacing FROM sm),
+cv AS (SELECT doc_id, page, bin, count(*) AS c FROM (SELECT doc_id, page, unnest(range(greatest(0, least(79, floor(x0 / 595 * 80)))::INT, greatest(0, least(79, floor(x1 / 595 * 80)))::INT + 1)) AS bin FROM pl) GROUP BY ALL),
+gr AS (SELECT g.doc_id, g.page, n, spacing, t.bin FROM sg g, range(80) t(bin)), em AS (SELECT gr.* FROM gr LEFT JOIN cv USING (doc_id, page, bin) WHERE coalesce(c, 0) <= greatest(1, floor(n * 0.01))),
+er AS (SELECT *, bin - row_number() OVER (PARTITION BY doc_id, page ORDER BY bin) AS run FROM em),
+ru AS (SELECT doc_id, page, n, spacing, min(bin) AS a, max(bin) + 1 AS b FROM er GROUP BY doc_id, page, n, spacing, run HAVING a > 0 AND b < 80 AND (b - a) / 80 * 595 >= 3 * spacing),
+si AS (SELECT doc_id, page, a, n, (a + b) / 2.0 / 80 AS centre FROM ru), ws_ AS (SELECT si.doc_id, si.page, a, centre, sum((x1 <= centre * 595)::INT) / n AS left_share, sum((x0 >= centre * 595)::INT) / n AS right_share FROM si JOIN pl USING (doc_id, page) GROUP BY si.doc_id, si.page, a, n, centre),
+co AS (SELECT * FROM ws_ WHERE least(left_share, right_share) >= 0.3 QUALIFY row_number() OVER (PARTITION BY doc_id, page ORDER BY least(left_share, right_share) DESC, a) = 1),
+pg AS (SELECT doc_id, unnest([1, 2])::INT AS page, length(coalesce(text, '')) AS chars, doc_id % 25 AS rules FROM documents),
+la AS (SELECT pg.doc_id, pg.page, chars, rules, modes, top_a, top_c / tm.n AS share, left_end, right_start, centre, chars >= 50 AND rules < 20 AND modes IS NOT NULL AS plain FROM pg LEFT JOIN tm USING (doc_id, page) LEFT JOIN lf USING (doc_id, page) LEFT JOIN rs USING (doc_id, page) LEFT JOIN co USING (doc_id, page)),
+lb AS (SELECT *, plain AND centre IS NOT NULL AS both_, plain AND centre IS NULL AND modes > 1 AND share >= 0.4 AND left_end IS NOT NULL AS gutter FROM la),
+layouts AS (SELECT doc_id, page, CASE WHEN chars < 50 THEN 'blank' WHEN rules >= 20 THEN 'ruled_table' WHEN modes IS NULL THEN 'blank' WHEN both_ OR gutter THEN 'two_column' WHEN modes > 1 AND share < 0.4 THEN 'form' ELSE 'single_column' END AS layout_type,
+  CASE WHEN both_ THEN centre WHEN gutter THEN (left_end + top_a) / 2 END AS boundary, CASE WHEN both_ THEN centre WHEN gutter THEN coalesce(right_start, top_a) END AS right_col, CASE WHEN both_ THEN 'parallel' WHEN gutter THEN 'gutter_label' END AS role FROM lb)"""
+)
+
 SQL = {
+    "page_layouts": f"WITH {_FOUND} SELECT doc_id, page, layout_type, round(boundary, 6) AS column_boundary, role AS column_role FROM layouts",
+    "page_corridors": f"WITH {_FOUND} SELECT doc_id, page, round(centre, 6) AS centre, round(left_share, 6) AS left_share, round(right_share, 6) AS right_share FROM co",
+    "page_blocks": f"""WITH {_FOUND}, sd AS (SELECT pl.*, role, right_col * 595 - 6 AS cut, CASE WHEN role = 'parallel' THEN CASE WHEN x1 <= boundary * 595 THEN 0 WHEN x0 > boundary * 595 THEN 1 END ELSE 0 END AS side FROM pl JOIN layouts USING (doc_id, page)),
+cl AS (SELECT *, min(x0) OVER (PARTITION BY doc_id, page, side, i) AS lo FROM sd WHERE side IS NOT NULL),
+cc AS (SELECT *, CASE WHEN role = 'parallel' THEN side WHEN role = 'gutter_label' AND x0 >= cut THEN 1 WHEN role = 'gutter_label' AND lo >= cut THEN 1 ELSE 0 END AS col FROM cl),
+bl AS (SELECT doc_id, page, side, i, col, string_agg(text, ' ' ORDER BY x0, k) AS text, min(x0) AS x0, min(top) AS top FROM cc GROUP BY ALL)
+SELECT doc_id, page, (row_number() OVER (PARTITION BY doc_id, page ORDER BY side, round(top / 6), col, x0, i) - 1)::INT AS block_idx, col::INT AS column_index, text, x0, top FROM bl""",
     "page_routes": "SELECT doc_id, unnest([1, 2])::INT AS page, CASE WHEN length(coalesce(text, '')) > 50 THEN 'native' ELSE 'hybrid_review' END AS method FROM documents",
     "page_lines": f"WITH {_WORDS} SELECT doc_id, unnest([1, 2])::INT AS page, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS line, n_words, top FROM (SELECT doc_id, i, count(*) AS n_words, (72 + 14 * i)::DOUBLE AS top FROM w WHERE length(text) > 0 GROUP BY ALL)",
     "document_parts": r"""WITH l AS (SELECT doc_id, unnest(range(len(ls)))::INT AS line_no, unnest(ls) AS line FROM (SELECT doc_id, string_split(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(10)) AS ls FROM documents WHERE length(text) > 0)),
