@@ -171,3 +171,27 @@ def reference_targets(raw: Column) -> Column:
 def caveat(confidence: Column, flags: Column) -> Column:
     """The mark of a value that needs a look."""
     return F.when((confidence < 0.7) | F.arrays_overlap(flags, F.array(F.lit("ambiguous"), F.lit("review_required"))), "(Need Review)").otherwise("")
+
+
+# How the parts of a document are called.
+PART_NAMES = {"main_agreement": "Surat Perjanjian", "general_terms": "SSUK", "special_terms": "SSKK", "annex_a": "Lampiran A", "annex_b": "Lampiran B"}
+
+
+def part_name(part: Column) -> Column:
+    """The display name of a part; its own name where it has none."""
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in PART_NAMES.items() for x in kv]), part), part, F.lit(""))
+
+
+def citation(label: Column, path: Column, part: Column, page: Column, refs: Column, key: Column) -> Column:
+    """How a clause is cited: by its label, below an article as a paragraph of it; without a label by its part,
+    path or key, with its page and what it refers to (refs: array of sub_document, label)."""
+    e = F.lit("")
+    label, path, page = F.coalesce(label, e), F.coalesce(path, e), F.coalesce(page, e)
+    above, last = F.regexp_extract(path, "^(.*)/[^/]*$", 1), F.substring_index(path, "/", -1)
+    word = F.regexp_replace(label, r"^\S+\s+", "")
+    labelled = F.when((above != "") & (last == label) & F.startswith(F.lower(above), F.lit("pasal ")), F.concat(above, F.lit(" ayat ("), label, F.lit(")"))).when(F.startswith(F.lower(label), F.lit("pasal")), F.concat(F.lit("Pasal "), word)).otherwise(F.concat(F.lit("Pasal "), label))
+    filled = lambda c: F.when(c != "", c)
+    where = F.coalesce(filled(part_name(part)), filled(path), F.substring(key, 1, 8))
+    where = F.concat(where, F.when(page != "", F.concat(F.lit(" hal. "), page)).otherwise(""))
+    named = F.array_join(F.transform(refs, lambda r: F.concat_ws(" ", part_name(r["sub_document"]), r["label"])), ", ")
+    return F.when(label != "", labelled).otherwise(F.concat(where, F.when(F.coalesce(F.size(refs), F.lit(0)) > 0, F.concat(F.lit(" (mengacu "), named, F.lit(")"))).otherwise("")))

@@ -60,6 +60,14 @@ def text_checks(nodes: DataFrame, documents: DataFrame) -> DataFrame:
     return kept.unionByName(found).unionByName(_result(d, "encoding_sanity", F.col("odd"), F.col("odd") == 0, "fail"))
 
 
+DRAFT = 5  # placeholders that make a text a draft
+
+
+def document_status(text: Column) -> Column:
+    """draft_template for a text with many placeholders, else executed_or_unclassified."""
+    return F.when(F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"…|\.{4,}")) >= DRAFT, "draft_template").otherwise("executed_or_unclassified")
+
+
 def words_checks(numbers: DataFrame) -> DataFrame:
     """The same of key numbers (document_key, note): numbers whose words say something else."""
     g = numbers.groupBy("document_key").agg(F.sum(F.coalesce(F.col("note") == "mismatch", F.lit(False)).cast("int")).alias("n"))

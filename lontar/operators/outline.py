@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -135,3 +135,26 @@ def roman_series(lines: DataFrame) -> DataFrame:
 
     turned = g.select("doc", F.explode(F.aggregate("asked", begin, step, lambda acc: acc["turned"])).alias("line_no"), F.lit(True).alias("roman"))
     return lines.join(turned, ["doc", "line_no"], "left").withColumn("style", F.when(F.col("roman"), "roman_upper").otherwise(F.col("style"))).drop("roman")
+
+
+# Type and depth of a numbered line by its style, outside and inside of the part that holds the clauses.
+CLASSES = {
+    "chapter_word": ("part", 0), "article_word": ("article", 0), "letter_upper": ("section", 0), "letter_dotted": ("section", 1), "decimal_plain": ("list_item", 1), "decimal_dotted": ("subclause", 1),
+    "paren_digit_both": ("subclause", 1), "latin_lower": ("list_item", 3), "roman_lower": ("list_item", 3), "roman_upper": ("list_item", 3), "paren_digit": ("list_item", 4), "paren_latin": ("list_item", 4), "bullet": ("list_item", 5),
+}
+IN_SCOPE = {"decimal_plain": ("clause", 1), "paren_digit_both": ("list_item", 3)}
+CAPITALS, CAPITAL_LETTERS = r"^[A-Z0-9][A-Z0-9 ,./()\-]{9,}$", 8
+
+
+def line_class(style: Column, label: Column, in_scope: Column) -> Column:
+    """struct(node_type, depth) of a numbered line; each dot of a dotted number is a level; paragraph, 2 without a style."""
+    made = lambda pair: F.struct(F.lit(pair[0]).alias("node_type"), F.lit(pair[1]).alias("depth"))
+    table = lambda rows: F.create_map(*[x for k, v in rows.items() for x in (F.lit(k), made(v))])
+    base = F.coalesce(F.when(in_scope, F.try_element_at(table(IN_SCOPE), style)), F.try_element_at(table(CLASSES), style), made(("paragraph", 2)))
+    dots = F.when(style == "decimal_dotted", F.length(label) - F.length(F.replace(label, F.lit("."), F.lit("")))).otherwise(0)
+    return F.struct(base["node_type"].alias("node_type"), (base["depth"] + dots).alias("depth"))
+
+
+def is_capitals(text: Column) -> Column:
+    """Whether a line is a heading in capitals: only those, digits and marks, with letters enough."""
+    return text.rlike(CAPITALS) & (F.length(F.regexp_replace(text, r"[^\p{L}]", "")) >= CAPITAL_LETTERS)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lontar.functions.text import plain_name, stem, tokens
+from lontar.functions.text import plain_name, squash, stem, tokens
 from lontar.operators.retrieval import top
 from lontar.stage import Stages
 
@@ -105,3 +105,21 @@ PLACEHOLDER = r"\.{4,}|\[diisi|…{2,}"
 def blank(value: Column) -> Column:
     """Null, blank, or with a placeholder anywhere."""
     return value.isNull() | (F.trim(value) == "") | value.rlike(PLACEHOLDER)
+
+
+def parties(rows: DataFrame) -> DataFrame:
+    """document_key, organizations, first_organization of parties (party_id, document_key, organization, person): the
+    text that a search for parties reads, and the first firm of a document. A party counts once."""
+    d = rows.dropDuplicates(["party_id"]).select("document_key", "party_id", *[squash(F.coalesce(c, F.lit(""))).alias(c) for c in ("organization", "person")])
+    g = d.groupBy("document_key").agg(F.array_sort(F.collect_list(F.struct("party_id", "organization", "person"))).alias("p"))
+    every = F.filter(F.flatten(F.transform("p", lambda x: F.array(x["organization"], x["person"]))), lambda t: t != "")
+    firms = F.filter(F.transform("p", lambda x: x["organization"]), lambda t: t != "")
+    return g.select("document_key", F.array_join(every, " ").alias("organizations"), F.try_element_at(firms, F.lit(1)).alias("first_organization"))
+
+
+def describe(filename: Column, number: Column, organization: Column, year: Column) -> Column:
+    """A line about a document: its file, number, first firm (at most 48 characters) and year, as far as known."""
+    firm = F.trim(F.regexp_replace(F.coalesce(organization, F.lit("")), r"^\*\)", ""))
+    firm = F.when(F.length(firm) <= 48, firm).otherwise(F.concat(F.substring(firm, 1, 45), F.lit("...")))
+    known = F.filter(F.array(F.coalesce(filename, F.lit("")), F.coalesce(number, F.lit("")), firm, F.coalesce(year, F.lit(""))), lambda b: b != "")
+    return F.array_join(known, " — ")

@@ -138,3 +138,20 @@ def row_tops(words: DataFrame) -> DataFrame:
     d = g.select(*PAGE, F.explode(F.arrays_zip(F.col("ws").alias("w"), F.aggregate("ws", begin, step, lambda acc: acc["rows"]).alias("row"))).alias("z")).select(*PAGE, "z.w.idx", "z.w.top", "z.w.bottom", "z.row")
     w = Window.partitionBy(*PAGE, "row")
     return d.select(*PAGE, "idx", F.min("top").over(w).alias("level_top"), F.max("bottom").over(w).alias("level_bottom"))
+
+
+# Headers of columns that name clauses, and the numbers of clauses.
+KEYED, DOTTED, ANY = r"(?i)\b(?:pasal|ssuk|sskk|klausul|ketentuan|ref)\b", r"\b\d{1,3}(?:\.\d{1,3}){1,2}\b", r"\b\d{1,3}(?:\.\d{1,3}){0,2}\b"
+
+
+def table_refs(tables: DataFrame, labels: DataFrame) -> DataFrame:
+    """document_key, table_id, row_no, position, raw, resolved_node_id: clause numbers in the first cells of tables
+    (document_key, table_id, row_no, is_header, cells) with the node of ``labels`` (document_key, label, target). In a
+    column that names clauses, by its header or by a dotted number in it, every number counts, else
+    dotted ones only. Headers give none."""
+    key = ["document_key", "table_id"]
+    d = tables.select(*key, "row_no", "is_header", F.coalesce(F.try_element_at("cells", F.lit(1)), F.lit("")).alias("cell"))
+    keyed = d.groupBy(*key).agg(F.max(F.when(F.col("is_header"), F.col("cell").rlike(KEYED)).otherwise(False) | F.col("cell").rlike(DOTTED)).alias("keyed"))
+    every = lambda p: F.regexp_extract_all("cell", F.lit(p), F.lit(0))
+    d = d.filter("not is_header").join(keyed, key).select(*key, "row_no", F.posexplode(F.when(F.col("keyed"), every(ANY)).otherwise(every(DOTTED))).alias("position", "raw"))
+    return d.join(labels.select("document_key", F.col("label").alias("raw"), F.col("target").alias("resolved_node_id")), ["document_key", "raw"], "left").select(*key, "row_no", "position", "raw", "resolved_node_id")

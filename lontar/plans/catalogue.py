@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lontar.plans import checks, core, fields, hierarchy, lookup, nested, pages, relational, search, snapshots, texts
+from lontar.plans import checks, core, fields, hierarchy, lookup, nested, pages, relational, search, snapshots, texts, views
 
-MODULES = [hierarchy, lookup, nested, snapshots, texts, search, pages, fields, core, relational, checks, lookup]
+MODULES = [hierarchy, nested, snapshots, texts, search, pages, fields, core, relational, checks, lookup, views]
 
 
 def queries() -> dict:
