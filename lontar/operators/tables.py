@@ -151,7 +151,8 @@ def table_refs(tables: DataFrame, labels: DataFrame) -> DataFrame:
     dotted ones only. Headers give none."""
     key = ["document_key", "table_id"]
     d = tables.select(*key, "row_no", "is_header", F.coalesce(F.try_element_at("cells", F.lit(1)), F.lit("")).alias("cell"))
-    keyed = d.groupBy(*key).agg(F.max(F.when(F.col("is_header"), F.col("cell").rlike(KEYED)).otherwise(False) | F.col("cell").rlike(DOTTED)).alias("keyed"))
+    d = d.withColumn("names", F.size(F.regexp_extract_all("cell", F.lit(DOTTED), F.lit(0))) + F.when(F.col("is_header"), F.size(F.regexp_extract_all("cell", F.lit(KEYED), F.lit(0)))).otherwise(0))
+    keyed = d.groupBy(*key).agg((F.sum("names") > 0).alias("keyed"))
     every = lambda p: F.regexp_extract_all("cell", F.lit(p), F.lit(0))
     d = d.filter("not is_header").join(keyed, key).select(*key, "row_no", F.posexplode(F.when(F.col("keyed"), every(ANY)).otherwise(every(DOTTED))).alias("position", "raw"))
     return d.join(labels.select("document_key", F.col("label").alias("raw"), F.col("target").alias("resolved_node_id")), ["document_key", "raw"], "left").select(*key, "row_no", "position", "raw", "resolved_node_id")

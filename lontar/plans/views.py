@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lontar.functions.numbering import numbering
 from lontar.operators import answers, checks, entities, outline, registry, tables
 from lontar.plans.texts import _LABEL, _STYLE, N, documents, nodes
+from lontar.stage import Stages
 
 
 def line_classes(spark, sf_dir):
@@ -26,9 +27,9 @@ def document_statuses(spark, sf_dir):
 def table_refs(spark, sf_dir):
     """A table for each document that lists its labels; two thirds of the headers name no clause."""
     n = nodes(spark, sf_dir)
-    rows = n.filter("length(label_normalized) > 0").select("document_key", F.lit("t_001_0").alias("table_id"), (F.coalesce("reading_order", F.lit(0)) + 1).alias("row_no"), F.lit(False).alias("is_header"), F.array(F.concat(F.lit("lihat "), F.col("label_normalized")), F.lit("x")).alias("cells"))
-    heads = n.select("document_key").distinct().select("document_key", F.lit("t_001_0").alias("table_id"), F.lit(0).alias("row_no"), F.lit(True).alias("is_header"), F.array(F.when(F.substring("document_key", 1, 1) < "5", "Ref. Klausul").otherwise("Uraian")).alias("cells"))
-    return tables.table_refs(rows.unionByName(heads), entities.label_index(n))
+    rows = n.filter("length(label_normalized) > 0").select("document_key", F.concat(F.lit("t_"), F.substring("document_key", 1, 3)).alias("table_id"), (F.coalesce("reading_order", F.lit(0)) + 1).alias("row_no"), F.lit(False).alias("is_header"), F.array(F.concat(F.lit("lihat "), F.col("label_normalized")), F.lit("x")).alias("cells"))
+    heads = n.select("document_key").distinct().select("document_key", F.concat(F.lit("t_"), F.substring("document_key", 1, 3)).alias("table_id"), F.lit(0).alias("row_no"), F.lit(True).alias("is_header"), F.array(F.when(F.substring("document_key", 1, 1) < "5", "Ref. Klausul").otherwise("Uraian")).alias("cells"))
+    return tables.table_refs(Stages(spark, "tables").write(rows.unionByName(heads), "tables"), entities.label_index(n))
 
 
 def answers_citations(spark, sf_dir):
@@ -66,7 +67,7 @@ r AS (SELECT document_key, coalesce(reading_order, 0) + 1 AS row_no, 'lihat ' ||
 k AS (SELECT document_key, bool_or(regexp_matches(cell, '\b\d{{1,3}}(?:\.\d{{1,3}}){{1,2}}\b')) OR left(document_key, 1) < '5' AS keyed FROM r GROUP BY 1),
 e AS (SELECT document_key, row_no, CASE WHEN keyed THEN regexp_extract_all(cell, '\b\d{{1,3}}(?:\.\d{{1,3}}){{0,2}}\b') ELSE regexp_extract_all(cell, '\b\d{{1,3}}(?:\.\d{{1,3}}){{1,2}}\b') END AS rs FROM r JOIN k USING (document_key)),
 u AS (SELECT document_key, row_no, unnest(range(len(rs)))::INT AS position, unnest(rs) AS raw FROM e)
-SELECT u.document_key, 't_001_0' AS table_id, row_no, position, raw, target AS resolved_node_id FROM u LEFT JOIN idx ON idx.document_key = u.document_key AND idx.label = u.raw""",
+SELECT u.document_key, 't_' || left(u.document_key, 3) AS table_id, row_no, position, raw, target AS resolved_node_id FROM u LEFT JOIN idx ON idx.document_key = u.document_key AND idx.label = u.raw""",
     "answers_citations": rf"""WITH d AS (SELECT DISTINCT clause_id, text, coalesce(label, '') AS label, sub_document, coalesce(hierarchy_path, '') AS path, copies, documents, node_type, coalesce(page, '') AS page, refs FROM source_clauses),
 c AS (SELECT *, regexp_extract(path, '^(.*)/[^/]*$', 1) AS above, regexp_extract(path, '([^/]*)$', 1) AS leaf, {_NAME('sub_document')} AS part FROM d)
 SELECT clause_id, part, CASE WHEN label <> '' THEN CASE WHEN above <> '' AND leaf = label AND starts_with(lower(above), 'pasal ') THEN above || ' ayat (' || label || ')' WHEN starts_with(lower(label), 'pasal') THEN 'Pasal ' || regexp_replace(label, '^\S+\s+', '') ELSE 'Pasal ' || label END
