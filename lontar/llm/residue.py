@@ -164,7 +164,7 @@ def _is_name_residue(text: str | None) -> bool:
     words = _WORD.findall(low)
     if not words:
         return not re.search(r"\d", low)  # only lines, dots or marks
-    if re.fullmatch(r"x{3,}", low) or is_residue(text):
+    if re.fullmatch(r"x{3,}|tbd|tba|undefined|null|n/a", low) or is_residue(text):
         return True
     return all(w in SLOT_WORDS or w == "dan" for w in words) and len(set(words)) == len(words) and not (len(words) == 1 and words[0] not in ("nama", "name", "jabatan", "ppk", "diisi", "menyusul"))
 

@@ -59,3 +59,10 @@ def test_slots_of_any_length():
 
 def test_short_texts_are_read_by_sentence_too():
     assert is_residue("Lihat ini. Page not found.") and not is_residue("Pasal page not found itu kita bahas.")
+
+
+def test_bare_marks_in_place_of_a_name():
+    from lontar.llm.residue import _is_name_residue
+
+    assert all(map(_is_name_residue, ("tbd", " TBA ", "undefined", "null", "N/A", "xxx")))
+    assert not any(map(_is_name_residue, ("Tba Undefined", "Nullah", "Xaverina")))
