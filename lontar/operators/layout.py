@@ -46,6 +46,22 @@ def lines(words: DataFrame) -> DataFrame:
     return d.withColumn("line", F.sum("starts").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("before", "starts", "height")
 
 
+def line_sums(words: DataFrame) -> DataFrame:
+    """doc, page, line, n_words, top of the lines that :func:`lines` finds. A line depends only on the tops of its
+    words, so those of a page at one top and of one height are counted before anything is shuffled. Every word has a top."""
+    d = words.groupBy(*PAGE, "top", (F.col("bottom") - F.col("top")).alias("h")).agg(F.count("*").alias("n"))
+    page, up = Window.partitionBy(*PAGE), Window.partitionBy(*PAGE).orderBy("h").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    positive = F.when(F.col("h") > 0, F.col("n")).otherwise(0)
+    d = d.withColumns({"upto": F.sum(positive).over(up), "of": F.sum(positive).over(page)})
+    # of the positive heights the one at the upper middle
+    d = d.withColumn("height", F.coalesce(F.min(F.when((F.col("h") > 0) & (F.col("upto") > F.floor(F.col("of") / 2)), F.col("h"))).over(page), F.lit(LINE_HEIGHT)))
+    w = page.orderBy("top")
+    d = d.withColumn("before", F.lag("top").over(w))
+    starts = (F.col("before").isNull() | (F.abs(F.col("top") - F.col("before")) > F.col("height") * LINE_TOLERANCE)).cast("int")
+    d = d.withColumn("starts", starts).withColumn("line", F.sum("starts").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return d.groupBy(*PAGE, "line").agg(F.sum("n").alias("n_words"), F.min("top").alias("top"))
+
+
 def placed(words: DataFrame, pages: DataFrame) -> DataFrame:
     """Words of pages that have a width, each with its line, the space to the word before it and whether
     it begins the line. Written once, since every rule of a layout reads it."""

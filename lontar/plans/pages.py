@@ -34,7 +34,7 @@ def page_routes(spark, sf_dir):
 
 
 def page_lines(spark, sf_dir):
-    return layout.lines(geometry(spark, sf_dir)[0]).groupBy(F.col("doc").alias("doc_id"), "page", "line").agg(F.count("*").alias("n_words"), F.min("top").alias("top"))
+    return layout.line_sums(geometry(spark, sf_dir)[0]).withColumnRenamed("doc", "doc_id")
 
 
 def page_layouts(spark, sf_dir):
