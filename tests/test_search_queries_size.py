@@ -32,3 +32,9 @@ def test_gate_shuffles_no_pairs(spark, tables):
     got = []
     assert shuffled(spark, lambda: got.extend(search.search_gate(spark, tables).collect())) < 50_000  # 800,000 pairs
     assert len(got) == 200 and all(r.passed and r["rank"] == 1 for r in got)
+
+
+def test_hybrid_shuffles_no_pairs(spark, tables):
+    got = []
+    assert shuffled(spark, lambda: got.extend(search.search_hybrid(spark, tables).collect())) < 80_000  # 800,000 pairs
+    assert {r.query_id for r in got} >= set(range(0, 4000, 20)) and all(r.id == r.query_id for r in got if r["rank"] == 1 and r.query_id >= 40)
