@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import partial
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -95,7 +101,7 @@ def reconcile(text1: Column, conf1: Column, text2: Column, conf2: Column) -> Col
     bare = lambda t: F.regexp_replace(t, r"[.,;:)\]}]+$", "")
     same = skeleton(text1) == skeleton(text2)
     ends = bare(text1) == bare(text2)
-    return F.when(~same, first).when(ends, F.when(F.length(text1) >= F.length(text2), first).otherwise(second)).when(conf2 > conf1, second).otherwise(first)
+    return F.when(text1 == text2, first).when(~same, first).when(ends, F.when(F.length(text1) >= F.length(text2), first).otherwise(second)).when(conf2 > conf1, second).otherwise(first)
 
 
 def two_readings(first: DataFrame, second: DataFrame, cell: float = 40.0) -> DataFrame:
@@ -123,6 +129,111 @@ def two_readings(first: DataFrame, second: DataFrame, cell: float = 40.0) -> Dat
     return words.unionByName(new)
 
 
+def paired_readings(words: DataFrame) -> DataFrame:
+    """As :func:`two_readings`, for words (doc, page, first, second) of which either reading, a structure of idx, text,
+    x0, top, x1, bottom, conf, may be null. The words of a page stand side by side in order of their idx, as a scan
+    gives them (one that is no larger than that before begins a page), so nothing is shuffled or written."""
+    kind = dict(words.dtypes)["doc"]
+    met = words.select(*PAGE, "first", "second").mapInArrow(partial(_meet, cell=40.0), f"doc {kind}, page int, idx long, text string, conf double, new boolean, again array<struct<text2: string, conf2: double>>")
+    one = F.element_at("again", 1)
+    start = F.struct("text", "conf")
+    kept = F.when(F.size("again") == 0, start).when(F.size("again") == 1, reconcile(F.col("text"), F.col("conf"), one["text2"], one["conf2"]))
+    kept = kept.otherwise(F.aggregate("again", start, lambda acc, x: reconcile(acc["text"], acc["conf"], x["text2"], x["conf2"])))
+    d = met.withColumn("kept", kept)
+    same = F.col("kept.text") == F.col("text")
+    source = F.when(F.col("new"), "recovered").when(same, "first").otherwise("corrected")
+    return d.select(*PAGE, "idx", F.col("kept.text").alias("text"), F.when(same, F.col("conf")).otherwise(F.col("kept.conf")).alias("conf"), source.alias("source"))
+
+
+def _whole_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Batches that end where a page ends, and the number of the page of each row."""
+    rest: list[pa.RecordBatch] = []
+
+    def numbered(d: pa.RecordBatch) -> np.ndarray:
+        idx = pc.coalesce(pc.struct_field(d["first"], "idx"), pc.struct_field(d["second"], "idx")).to_numpy(zero_copy_only=False)
+        new = np.diff(idx) <= 0
+        for c in PAGE:
+            new |= np.diff(d[c].dictionary_encode(null_encoding="encode").indices.to_numpy()) != 0
+        return np.r_[0, np.cumsum(new)]
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rest.append(batch)
+        # a page of many batches is put together once it ends
+        if len(rest) > 1 and len(set(numbered(pa.concat_batches([rest[-2].slice(rest[-2].num_rows - 1), batch])))) == 1:
+            continue
+        d = pa.concat_batches(rest)
+        page = numbered(d)
+        n = int(np.searchsorted(page, page[-1]))
+        rest = [d.slice(n)]
+        if n:
+            yield d.slice(0, n), page[:n]
+    if rest:
+        d = pa.concat_batches(rest)
+        yield d, numbered(d)
+
+
+def _tiles(page: np.ndarray, box: dict[str, np.ndarray], cell: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Word, page, column and row of the cells that words cover; words without an area cover none."""
+    some = np.flatnonzero((box["x1"] > box["x0"]) & (box["bottom"] > box["top"]))
+    i0, i1, j0, j1 = (np.floor(box[c][some] / cell).astype(np.int64) for c in ("x0", "x1", "top", "bottom"))
+    n = (i1 - i0 + 1) * (j1 - j0 + 1)
+    of = np.repeat(np.arange(len(some)), n)
+    k = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+    rows = (j1 - j0 + 1)[of]
+    return some[of], page[some][of], i0[of] + k // rows, j0[of] + k % rows
+
+
+def _meet(batches: Iterator[pa.RecordBatch], cell: float) -> Iterator[pa.RecordBatch]:
+    """The words of the first reading, each with those of the second that lie on it, and the others of the second."""
+    for d, page in _whole_pages(batches):
+        sides = []
+        for name in ("first", "second"):
+            at = np.flatnonzero(d[name].is_valid().to_numpy(zero_copy_only=False))
+            s = d[name].take(pa.array(at))
+            sides.append((at, s, {c: s.field(c).cast(pa.float64()).to_numpy(zero_copy_only=False) for c in ("x0", "top", "x1", "bottom")}))
+        (at1, s1, a), (at2, s2, b) = sides
+        t1, t2 = _tiles(page[at1], a, cell), _tiles(page[at2], b, cell)
+        key, n = np.zeros(len(t1[0]) + len(t2[0]), np.int64), 1
+        for x, y in zip(t1[1:], t2[1:], strict=True):  # one number for page, column and row
+            z = np.concatenate([x, y])
+            z = z - z.min() if len(z) else z
+            if len(z) and n * (int(z.max()) + 1) >= 1 << 62:
+                z, key = np.unique(z, return_inverse=True)[1], np.unique(key, return_inverse=True)[1]
+                n = int(key.max()) + 1
+            m = int(z.max()) + 1 if len(z) else 1
+            key, n = key * m + z, n * m
+        k1, k2 = key[: len(t1[0])], key[len(t1[0]) :]
+        order = np.argsort(k1, kind="stable")
+        lo, hi = np.searchsorted(k1[order], k2, "left"), np.searchsorted(k1[order], k2, "right")
+        n = hi - lo
+        i = t1[0][order[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - lo, n)]]
+        j = np.repeat(t2[0], n)
+        ix = np.minimum(a["x1"][i], b["x1"][j]) - np.maximum(a["x0"][i], b["x0"][j])
+        iy = np.minimum(a["bottom"][i], b["bottom"][j]) - np.maximum(a["top"][i], b["top"][j])
+        area = [np.maximum(1e-6, (x["x1"] - x["x0"]) * (x["bottom"] - x["top"])) for x in (a, b)]
+        on = (ix > 0) & (iy > 0)
+        i, j, ix, iy = i[on], j[on], ix[on], iy[on]
+        on = ix * iy / np.minimum(area[0][i], area[1][j]) >= OVERLAP
+        # places of the first reading are in order of page and idx, those of the second too
+        first = np.full(len(at2), len(at1), np.int64)
+        np.minimum.at(first, j[on], i[on])
+        met = np.flatnonzero(first < len(at1))
+        met = met[np.argsort(first[met], kind="stable")]
+        start = np.r_[0, np.cumsum(np.bincount(first[met], minlength=len(at1)))].astype(np.int32)
+        new = np.flatnonzero(first == len(at1))
+        text2, conf2 = s2.field("text"), s2.field("conf").cast(pa.float64())
+        again = pa.StructArray.from_arrays([text2.take(pa.array(met)), conf2.take(pa.array(met))], ["text2", "conf2"])
+        none = pa.ListArray.from_arrays(pa.array(np.zeros(len(new) + 1, np.int32)), again.slice(0, 0))
+        for at, s, rows, lists in ((at1, s1, None, pa.ListArray.from_arrays(pa.array(start), again)), (at2, s2, pa.array(new), none)):
+            text, conf, idx = s.field("text"), s.field("conf").cast(pa.float64()), s.field("idx").cast(pa.int64())
+            if rows is not None:
+                at, text, conf, idx = at[new], text.take(rows), conf.take(rows), idx.take(rows)
+            if len(at):
+                yield pa.RecordBatch.from_arrays([d["doc"].take(pa.array(at)), d["page"].take(pa.array(at)).cast(pa.int32()), idx, text, conf, pa.array(np.full(len(at), rows is not None)), lists], ["doc", "page", "idx", "text", "conf", "new", "again"])
+
+
 def row_tops(words: DataFrame) -> DataFrame:
     """doc, page, idx, top, bottom of words put level by row: in order of their middles a word joins the row while its
     middle is near the mean of the row's, and has the row's top and bottom. A page's words are one fold."""
